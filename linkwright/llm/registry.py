@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from linkwright.llm import line_dedup, packing, pii
+from linkwright.llm import line_dedup, packing, pii, tiff, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op4_warc": warc.op4_warc,
+    "op5_tiff": tiff.op5_tiff,
     "op6_pii": pii.op6_pii,
     "op7_line_dedup": line_dedup.op7_line_dedup,
 }
-ORACLE_SQL = {"op7_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL = {"op4_warc": warc.ORACLE, "op7_line_dedup": line_dedup.ORACLE}
