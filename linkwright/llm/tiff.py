@@ -261,7 +261,7 @@ def store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 def pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media", samples: bool = False) -> DataFrame:
     """One row per page of every file: id_col and the columns of PAGE, with samples=True also `samples` (binary).
 
-    payload_bytes, payload_sha256, mean and entropy (bits) run over the file's samples up to and with the page, and
+    note is the file's description. payload_bytes, payload_sha256, mean and entropy (bits) run over the file's samples up to and with the page, and
     tail_crc32 is of the last 64 of them, so a file's last page (page = pages - 1) tells of the whole file. A null or
     unreadable file is one row with `error` and no page. Equal files give equal rows. Files are read one at a time, in
     one narrow pass.
@@ -284,7 +284,7 @@ def pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media",
             size, tail = size + len(raw), (tail + raw)[-64:]
             counts += np.bincount(p.samples.ravel(), minlength=256)
             share = counts[counts > 0] / size
-            yield (p.number, len(found), p.width, p.height, p.compression, p.predictor, p.tiled, p.note, len(data), sha, size, digest.copy().hexdigest(), zlib.crc32(tail), float(counts @ np.arange(256) / size), float(-(share * np.log2(share)).sum()) + 0.0, None, *[raw] * samples)
+            yield (p.number, len(found), p.width, p.height, p.compression, p.predictor, p.tiled, found[0].note, len(data), sha, size, digest.copy().hexdigest(), zlib.crc32(tail), float(counts @ np.arange(256) / size), float(-(share * np.log2(share)).sum()) + 0.0, None, *[raw] * samples)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

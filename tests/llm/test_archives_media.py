@@ -88,7 +88,7 @@ def test_pages_of_texts(spark):
         padded = raw.ljust(max(1, -(-len(raw) // 64)) * 64, b"\0")
         assert b"".join(bytes(r.samples) for r in own) == padded and len(own) == own[0].pages
         last = own[-1]
-        assert (last.payload_bytes, last.payload_sha256, last.tail_crc32, own[0].note) == (len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:]), f"bytes={len(raw)}")
+        assert (last.payload_bytes, last.payload_sha256, last.tail_crc32, last.note) == (len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:]), f"bytes={len(raw)}")
     assert tiff.pages(tiff.store(docs.limit(0))).count() == 0
 
 
