@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -13,39 +15,83 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 TIERS = (256, 512, 1024, 2048, 4096)
-#: Tokens that one task holds and packs at a time, tokens of one optimizer step, words whose ids a worker remembers.
-BLOCK_TOKENS, STEP_TOKENS, MEMO_WORDS = 4_000_000, 65_536, 300_000
+#: Tokens that one task holds and packs at a time, tokens of one optimizer step, words and chunks whose ids a worker remembers.
+BLOCK_TOKENS, STEP_TOKENS, MEMO_WORDS, MEMO_CHUNKS = 2_000_000, 65_536, 150_000, 300_000
+
+
+#: Below U+0300 nothing composes with what stands before it, and the classes of letters and digits are old and settled.
+PLAIN = "\u0300"
+#: Below U+0130 each letter has one lower-case letter, whatever stands beside it.
+SIMPLE = "\u0130"
+#: Letters in a row, one digit, other signs in a row, one odd blank; with an apostrophe near, the word as a whole.
+CHUNK = re.compile(r"[^\s']*'\S*|[^\W\d_]+|\d|(?:[^\w\s']|_)+|\s")
+
+
+class Memo(dict):
+    """The last `most` to twice as many entries that were read: what a full generation holds goes only if unread in the next."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = value = self.old[key]
+        return value
+
+    def lacks(self, key: str) -> bool:
+        return key not in self and key not in self.old
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
 
 
 class WordEncoder:
-    """ids of whole texts from a tokenizer whose pre-tokens never span a blank or a line feed, so that a text's ids are
-    its words' ids in a row. Each word is encoded once and remembered; encode() equals the tokenizer on the whole text."""
+    """ids of whole texts from a tokenizer that splits texts at blanks, and words into letters, digits and other signs,
+    so that a text's ids are its words' ids in a row, and a word's those of its chunks. Words and chunks are encoded once
+    and remembered, up to twice MEMO_WORDS and MEMO_CHUNKS of them; encode_batch() equals the tokenizer on the whole texts."""
 
-    def __init__(self, definition: bytes, memo: int = MEMO_WORDS):
+    def __init__(self, definition: bytes, words: int = MEMO_WORDS, chunks: int = MEMO_CHUNKS):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo, self.known = Tokenizer.from_buffer(definition), memo, {}
+        self.tokenizer, self.known, self.chunks = Tokenizer.from_buffer(definition), Memo(words), Memo(chunks)
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     @staticmethod
     def words(text: str) -> list[str]:
-        if text.isascii() and "<|" not in text:  # the tokenizer lower-cases; special tokens are matched before that
+        if "<|" not in text and (text.isascii() or max(text) < SIMPLE):  # the tokenizer lower-cases, but finds special tokens first
             text = text.lower()
         return text.replace("\n", " ").split(" ")
 
+    @staticmethod
+    def split(word: str) -> list[str]:
+        if not word or "<|" in word or not (word.isascii() or max(word) < PLAIN):
+            return [word]
+        parts = CHUNK.findall(word)
+        return [word] if any(p.isspace() for p in parts) else parts
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         split = [self.words(x) for x in texts]
-        if len(self.known) > self.memo:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        known, chunks, as_bytes = self.known, self.chunks, self.as_bytes
+        known.turn()
+        chunks.turn()
+        new = {w: self.split(w) for words in split for w in words if w not in known and known.lacks(w)}
+        fresh = list({c for parts in new.values() for c in parts if c not in chunks and chunks.lacks(c)})
+        for c, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            chunks[c] = b"".join([as_bytes[i] for i in e.ids])
+        for w, parts in new.items():
+            known[w] = b"".join([chunks[c] for c in parts])
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+@lru_cache(1)
+def encoder_of(definition: bytes) -> WordEncoder:
+    """A Python worker's encoder, which its later tasks find warm."""
+    return WordEncoder(definition)
+
+
 def pack_block(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
     """Sequences (tier, pieces (document, start, length)) that hold every token of the block once.
 
@@ -122,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = WordEncoder(sent.value), TaskContext.get().partitionId() << 32
+        encoder, task = encoder_of(sent.value), TaskContext.get().partitionId() << 32
         ids: list = []
         held: list[bytes] = []
         size = sequences = groups = 0
@@ -147,9 +193,9 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            texts, own = [x or "" for x in batch.column(1).to_pylist()], batch.column(0).to_pylist()
-            for at in range(0, len(texts), 500):
-                for i, x in zip(own[at : at + 500], encoder.encode_batch(texts[at : at + 500]), strict=True):
+            for at in range(0, batch.num_rows, 300):
+                part = batch.slice(at, 300)
+                for i, x in zip(part.column(0).to_pylist(), encoder.encode_batch([x or "" for x in part.column(1).to_pylist()]), strict=True):
                     ids.append(i)
                     held.append(x + end)
                     size += len(x) // 4 + 1

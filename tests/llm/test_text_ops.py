@@ -54,6 +54,16 @@ def test_pack_round_trip(spark, tokenizer):
         assert at <= 4096 and at & (at - 1) == 0  # nothing is padded
 
 
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("ab'sS tT.,!9½²ªß\u0301\u212b\x1c\x85\xa0\u2003İΣςñ_\n\t<|"), st.characters(exclude_categories=["Cs"])), max_size=30), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_encoder_equals_whole_text(tokenizer, texts):
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_buffer(tokenizer), packing.encoder_of(tokenizer)
+    texts = [*texts, "".join(texts), "it's don't 'S we'LL <|endoftext|>'s 1'2' '" + "'".join(texts)]
+    assert e.encode_batch(texts) == [b"".join(i.to_bytes(4, "little") for i in t.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
 @given(st.lists(st.integers(1, 9000), max_size=40))
 @settings(max_examples=60, deadline=None)
 def test_pack_block_holds_each_token_once(lengths):
