@@ -6,10 +6,12 @@ import heapq
 import re
 import zlib
 from bisect import bisect_right, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,36 +23,37 @@ BLOCK_TOKENS, STEP_TOKENS, MEMO_WORDS, MEMO_CHUNKS = 2_000_000, 65_536, 150_000,
 
 #: Below U+0300 nothing composes with what stands before it, and the classes of letters and digits are old and settled.
 PLAIN = "\u0300"
-#: Below U+0130 each letter has one lower-case letter, whatever stands beside it.
-SIMPLE = "\u0130"
-#: Letters in a row, one digit, other signs in a row, one odd blank; with an apostrophe near, the word as a whole.
-CHUNK = re.compile(r"[^\s']*'\S*|[^\W\d_]+|\d|(?:[^\w\s']|_)+|\s")
+#: Letters in a row, one digit, other signs in a row, with an apostrophe near, the word as a whole.
+CHUNK = re.compile(r"[^\s']*'\S*|[^\W\d_]+|\d|(?:[^\w\s']|_)+")
 
 
-class Memo(dict):
+class Memo:
     """The last `most` to twice as many entries that were read: what a full generation holds goes only if unread in the next."""
 
     def __init__(self, most: int):
-        super().__init__()
-        self.most, self.old = most, {}
-
-    def __missing__(self, key: str) -> bytes:
-        self[key] = value = self.old[key]
-        return value
-
-    def lacks(self, key: str) -> bool:
-        return key not in self and key not in self.old
-
-    def turn(self) -> None:
-        if len(self) > self.most:
-            self.old = dict(self)
-            self.clear()
+        self.most, self.young, self.old = most, {}, {}
+
+    def get_all(self, keys: list[str], make: Callable[[list[str]], Iterable[bytes]]) -> list[bytes]:
+        """The keys' values; make() gives those of keys that aren't held."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        values = list(map(young.get, keys))
+        gone = [i for i, v in enumerate(values) if v is None]
+        for i in gone:
+            values[i] = old.get(keys[i])
+        new = [i for i in gone if values[i] is None]
+        for i, v in zip(new, make([keys[i] for i in new]), strict=True):
+            values[i] = v
+        for i in gone:
+            young[keys[i]] = values[i]
+        return values
 
 
 class WordEncoder:
     """ids of whole texts from a tokenizer that splits texts at blanks, and words into letters, digits and other signs,
     so that a text's ids are its words' ids in a row, and a word's those of its chunks. Words and chunks are encoded once
-    and remembered, up to twice MEMO_WORDS and MEMO_CHUNKS of them; encode_batch() equals the tokenizer on the whole texts."""
+    and remembered, up to twice MEMO_WORDS and MEMO_CHUNKS of them; encode() equals the tokenizer on the whole texts."""
 
     def __init__(self, definition: bytes, words: int = MEMO_WORDS, chunks: int = MEMO_CHUNKS):
         from tokenizers import Tokenizer
@@ -58,32 +61,47 @@ class WordEncoder:
         self.tokenizer, self.known, self.chunks = Tokenizer.from_buffer(definition), Memo(words), Memo(chunks)
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
-    @staticmethod
-    def words(text: str) -> list[str]:
-        if "<|" not in text and (text.isascii() or max(text) < SIMPLE):  # the tokenizer lower-cases, but finds special tokens first
-            text = text.lower()
-        return text.replace("\n", " ").split(" ")
-
     @staticmethod
     def split(word: str) -> list[str]:
         if not word or "<|" in word or not (word.isascii() or max(word) < PLAIN):
             return [word]
-        parts = CHUNK.findall(word)
-        return [word] if any(p.isspace() for p in parts) else parts
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit numbers."""
-        split = [self.words(x) for x in texts]
-        known, chunks, as_bytes = self.known, self.chunks, self.as_bytes
-        known.turn()
-        chunks.turn()
-        new = {w: self.split(w) for words in split for w in words if w not in known and known.lacks(w)}
-        fresh = list({c for parts in new.values() for c in parts if c not in chunks and chunks.lacks(c)})
-        for c, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            chunks[c] = b"".join([as_bytes[i] for i in e.ids])
-        for w, parts in new.items():
-            known[w] = b"".join([chunks[c] for c in parts])
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        return CHUNK.findall(word) if word.split() == [word] else [word]
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Each word's ids as little-endian unsigned 32-bit numbers."""
+        return self.known.get_all(words, self._of_new_words)
+
+    def _of_new_words(self, words: list[str]) -> list[bytes]:
+        parts = [self.split(w) for w in words]
+        different = list({c for p in parts for c in p})
+        ids = dict(zip(different, self.chunks.get_all(different, self._of_new_chunks), strict=True))
+        return [b"".join([ids[c] for c in p]) for p in parts]
+
+    def _of_new_chunks(self, chunks: list[str]) -> list[bytes]:
+        as_bytes = self.as_bytes
+        return [b"".join([as_bytes[i] for i in e.ids]) for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty) in a row, and where each text's begin and the last one's end."""
+        texts = texts.fill_null("")
+        # the tokenizer lower-cases, but finds special tokens before that
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = lists.values.dictionary_encode()
+        each = self.of_words(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        begin, word = np.cumsum(size) - size, coded.indices.to_numpy()
+        n = size[word]
+        ends = np.cumsum(n)
+        ids = np.frombuffer(b"".join(each), "<u4")[np.repeat(begin[word] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
+        return ids, np.append(0, ends)[lists.offsets.to_numpy()]
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = 12_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts have about `most` bytes, one row at least."""
+    block = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
 
 
 @lru_cache(1)
@@ -193,12 +211,12 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for at in range(0, batch.num_rows, 300):
-                part = batch.slice(at, 300)
-                for i, x in zip(part.column(0).to_pylist(), encoder.encode_batch([x or "" for x in part.column(1).to_pylist()]), strict=True):
+            for part in by_bytes(batch, 1):
+                flat, begin = encoder.encode(part.column(1))
+                for k, i in enumerate(part.column(0).to_pylist()):
                     ids.append(i)
-                    held.append(x + end)
-                    size += len(x) // 4 + 1
+                    held.append(flat[begin[k] : begin[k + 1]].tobytes() + end)
+                    size += len(held[-1]) // 4
                     if size >= block_tokens:
                         yield flush()
                         size = 0
