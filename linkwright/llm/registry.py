@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkwright.llm import line_dedup, packing, pii, tiff, warc
+from linkwright.llm import line_dedup, packing, pii, quality, tiff, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -10,5 +10,6 @@ QUERIES = {
     "op5_tiff": tiff.op5_tiff,
     "op6_pii": pii.op6_pii,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op9_quality": quality.op9_quality,
 }
 ORACLE_SQL = {"op4_warc": warc.ORACLE, "op7_line_dedup": line_dedup.ORACLE}
