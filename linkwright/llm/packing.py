@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator
@@ -17,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 TIERS = (256, 512, 1024, 2048, 4096)
-#: Tokens that one task holds and packs at a time, tokens of one optimizer step, words and chunks whose ids a worker remembers.
-BLOCK_TOKENS, STEP_TOKENS, MEMO_WORDS, MEMO_CHUNKS = 2_000_000, 65_536, 150_000, 300_000
+#: Tokens that one task holds and packs at a time, tokens of one optimizer step, chunks of text whose ids a worker remembers.
+BLOCK_TOKENS, STEP_TOKENS, MEMO = 2_000_000, 65_536, 400_000
 
 
-#: Below U+0300 nothing composes with what stands before it, and the classes of letters and digits are old and settled.
-PLAIN = "\u0300"
-#: Letters in a row, one digit, other signs in a row, with an apostrophe near, the word as a whole.
-CHUNK = re.compile(r"[^\s']*'\S*|[^\W\d_]+|\d|(?:[^\w\s']|_)+")
+#: Texts with a sign from here on, with an apostrophe, a special token's brackets or an odd blank are split at blanks only.
+#: In all others nothing composes, each letter has one lower-case letter, and pre-tokens end where other signs begin and end.
+ODD = r"[^\x00-\x{2FF}]|[\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{130}']|<\|"
+SIGNS = r"([^\pL\pN\s]+)"
 
 
 class Memo:
@@ -51,44 +50,28 @@ class Memo:
 
 
 class WordEncoder:
-    """ids of whole texts from a tokenizer that splits texts at blanks, and words into letters, digits and other signs,
-    so that a text's ids are its words' ids in a row, and a word's those of its chunks. Words and chunks are encoded once
-    and remembered, up to twice MEMO_WORDS and MEMO_CHUNKS of them; encode() equals the tokenizer on the whole texts."""
+    """ids of whole texts from a tokenizer that lower-cases and splits texts at blanks and where signs that are neither
+    letters nor digits begin and end, so that a text's ids are its chunks' ids in a row. Each chunk is encoded once and
+    remembered (up to twice MEMO of them); encode() equals the tokenizer on the whole texts."""
 
-    def __init__(self, definition: bytes, words: int = MEMO_WORDS, chunks: int = MEMO_CHUNKS):
+    def __init__(self, definition: bytes, memo: int = MEMO):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.chunks = Tokenizer.from_buffer(definition), Memo(words), Memo(chunks)
+        self.tokenizer, self.known = Tokenizer.from_buffer(definition), Memo(memo)
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
-    @staticmethod
-    def split(word: str) -> list[str]:
-        if not word or "<|" in word or not (word.isascii() or max(word) < PLAIN):
-            return [word]
-        return CHUNK.findall(word) if word.split() == [word] else [word]
-
-    def of_words(self, words: list[str]) -> list[bytes]:
-        """Each word's ids as little-endian unsigned 32-bit numbers."""
-        return self.known.get_all(words, self._of_new_words)
-
-    def _of_new_words(self, words: list[str]) -> list[bytes]:
-        parts = [self.split(w) for w in words]
-        different = list({c for p in parts for c in p})
-        ids = dict(zip(different, self.chunks.get_all(different, self._of_new_chunks), strict=True))
-        return [b"".join([ids[c] for c in p]) for p in parts]
-
-    def _of_new_chunks(self, chunks: list[str]) -> list[bytes]:
+    def _ids(self, chunks: list[str]) -> list[bytes]:
         as_bytes = self.as_bytes
         return [b"".join([as_bytes[i] for i in e.ids]) for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty) in a row, and where each text's begin and the last one's end."""
         texts = texts.fill_null("")
-        # the tokenizer lower-cases, but finds special tokens before that
-        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        odd = pc.match_substring_regex(texts, ODD)
+        plain = pc.replace_substring_regex(pc.utf8_lower(pc.if_else(odd, "", texts)), SIGNS, r" \1 ")
+        lists = pc.split_pattern(pc.replace_substring_regex(pc.if_else(odd, texts, plain), r"[\n\t\r]", " "), " ")
         coded = lists.values.dictionary_encode()
-        each = self.of_words(coded.dictionary.to_pylist())
+        each = self.known.get_all(coded.dictionary.to_pylist(), self._ids)
         size = np.fromiter(map(len, each), np.int64, len(each)) // 4
         begin, word = np.cumsum(size) - size, coded.indices.to_numpy()
         n = size[word]
