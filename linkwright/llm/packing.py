@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 TIERS = (256, 512, 1024, 2048, 4096)
 #: Tokens that one task holds and packs at a time, tokens of one optimizer step, chunks of text whose ids a worker remembers.
-BLOCK_TOKENS, STEP_TOKENS, MEMO = 2_000_000, 65_536, 400_000
+BLOCK_TOKENS, STEP_TOKENS, MEMO = 1_000_000, 65_536, 250_000
 
 
 #: Texts with a sign from here on, with an apostrophe, a special token's brackets or an odd blank are split at blanks only.
@@ -80,7 +80,7 @@ class WordEncoder:
         return ids, np.append(0, ends)[lists.offsets.to_numpy()]
 
 
-def by_bytes(batch: pa.RecordBatch, column: int, most: int = 12_000_000) -> Iterator[pa.RecordBatch]:
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = 6_000_000) -> Iterator[pa.RecordBatch]:
     """The batch in slices whose texts have about `most` bytes, one row at least."""
     block = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)) // most
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
