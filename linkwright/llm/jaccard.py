@@ -19,6 +19,8 @@ from linkwright.llm.shared import forget, materialize
 TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
 #: Slots of the fixed-size table by which the second pass skips documents without a possible partner; bins of a histogram.
 SLOTS, BINS = 1 << 20, 64
+#: Most frequent tokens that go to the end of the global order, and how often a task must meet one in a slice to report it.
+COMMON, REPORTED = 400_000, 3
 ROUNDS = 3
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -57,8 +59,7 @@ class Measure:
 
 def shingle_sets(texts: list[str | None], words: int = 4) -> list[np.ndarray]:
     """For each whole text its distinct shingles as sorted 64-bit tokens: the bytes of its words, more first, in the
-    upper 8 bits, 56 bits of hash below. So the sets are in one global order in which long, and so mostly rare, shingles
-    lead. Texts of fewer words are one shingle, texts of none the empty set."""
+    upper 8 bits, 56 bits of hash below. So they are in an order in which long, and so mostly rare, shingles lead. Texts of fewer words are one shingle, texts of none the empty set."""
     raw = [(x or "").encode("utf-8", "replace") for x in texts]
     a = _FOLD[np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)]
     offsets = np.cumsum([0] + [len(x) + 1 for x in raw])
@@ -89,8 +90,8 @@ def shingle_sets(texts: list[str | None], words: int = 4) -> list[np.ndarray]:
         if hi - lo >= words:
             out.append(np.unique(token[lo : hi - words + 1]))
         elif hi > lo:
-            short = (word[lo:hi] * _PLACES[: hi - lo]).sum(dtype=np.uint64) + np.uint64(hi - lo) * _MULTIPLY
-            out.append(_order(_mix(np.array([short])), np.array([length[lo:hi].sum()])))
+            short = (word[lo:hi] * _PLACES[: hi - lo]).sum(dtype=np.uint64, keepdims=True) + np.array([hi - lo], np.uint64) * _MULTIPLY
+            out.append(_order(_mix(short), np.array([length[lo:hi].sum()])))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -197,11 +198,47 @@ PREFIXES = "doc_id long, k1 long, k2 int, n int, token long"
 SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, m0 long, m1 long, m2 long"
 
 
-def _prefixes(measure: Measure) -> Callable:
+def common_tokens(keyed: DataFrame, measure: Measure, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """The (at most `most`) most frequent tokens, sorted, and the rank of each, the rarest first. Every document is
+    counted; a slice reports only tokens that REPORTED of its documents have. This decides the order of the sets and so
+    the cost, never the result."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch, 12_000_000):
+                tokens, count = np.unique(np.concatenate(shingle_sets(part.column("text").to_pylist(), measure.words)), return_counts=True)
+                many = count >= REPORTED
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["token", "n"])
+
+    counted = keyed.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= 2 * REPORTED)
+    got = counted.orderBy(F.desc("n"), "token").limit(most).toArrow()
+    tokens = got.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], (len(tokens) - 1 - np.arange(len(tokens), dtype=np.int32))[order]
+
+
+def rare_first(sets: list[np.ndarray], common: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """The sets in the global order: tokens that aren't common as they are, then the common ones by rank."""
+    tokens, rank = common
+    if not len(tokens) or not sets:
+        return sets
+    flat = np.concatenate(sets)
+    at = np.searchsorted(tokens, flat)
+    at[at == len(tokens)] = 0
+    hit = tokens[at] == flat
+    cuts = np.cumsum([0] + [len(s) for s in sets])
+    out = []
+    for s, a, b in zip(sets, cuts, cuts[1:], strict=False):
+        h = hit[a:b]
+        out.append(np.concatenate([s[~h], s[h][np.argsort(rank[at[a:b][h]])]]) if h.any() else s)
+    return out
+
+
+def _prefixes(measure: Measure, common) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _slices(batch):
-                sets = shingle_sets(part.column("text").to_pylist(), measure.words)
+                sets = rare_first(shingle_sets(part.column("text").to_pylist(), measure.words), common.value)
                 n = np.array([len(s) for s in sets], np.int32)
                 k = np.array([measure.prefix(len(s)) if len(s) else 0 for s in sets])
                 of = np.concatenate([np.arange(len(sets)), np.repeat(np.arange(len(sets)), k)])
@@ -284,6 +321,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     component is its own id. Rows that repeat an id are one document in the links; a null id has neither links nor a
     component. An empty table gives no rows. Only id_col and text_col are read.
 
+    0. One pass counts tokens; the most frequent (a fixed number of them, so they can be broadcast) end the global order.
     1. One pass writes each document's size and the prefix of its ordered set. Equal texts are one class. A token whose
        prefix holders are one class can't link anything; what remains are buckets.
     2. A second pass makes the sets of documents in such buckets, and only of those.
@@ -294,7 +332,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     keyed = _by_texts(docs, id_col, text_col)
-    rows = materialize(keyed.mapInArrow(_prefixes(measure), PREFIXES), "prefixes")
+    common = spark.sparkContext.broadcast(common_tokens(keyed, measure))
+    rows = materialize(keyed.mapInArrow(_prefixes(measure, common), PREFIXES), "prefixes")
     table = rows.where("token IS NULL").select("doc_id", "k1", "k2", "n")
     prefixes = rows.where("token IS NOT NULL").select("token", "k1", "k2", "n")
     shared = prefixes.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high").select("token")
