@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkwright.llm import caps, jaccard, line_dedup, packing, pii, quality, tiff, warc
+from linkwright.llm import caps, jaccard, line_dedup, mixing, packing, pii, quality, tiff, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -13,5 +13,6 @@ QUERIES = {
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_quality": quality.op9_quality,
+    "op10_mixing": mixing.op10_mixing,
 }
 ORACLE_SQL = {"op4_warc": warc.ORACLE, "op7_line_dedup": line_dedup.ORACLE}
