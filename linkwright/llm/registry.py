@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from linkwright.llm import caps, jaccard, line_dedup, mixing, packing, pii, quality, tiff, warc
+from linkwright.llm import caps, jaccard, licenses, line_dedup, mixing, packing, pii, quality, tiff, warc
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_embedding_near_dedup": caps.op2_embedding_near_dedup,
+    "op3_licenses": licenses.op3_licenses,
     "op4_warc": warc.op4_warc,
     "op5_tiff": tiff.op5_tiff,
     "op6_pii": pii.op6_pii,
