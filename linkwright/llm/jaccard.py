@@ -20,7 +20,7 @@ TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
 #: Slots of the fixed-size table by which the second pass skips documents without a possible partner; bins of a histogram.
 SLOTS, BINS = 1 << 20, 64
 #: Most frequent tokens that go to the end of the global order, and how often a task must meet one in a slice to report it.
-COMMON, REPORTED = 400_000, 3
+COMMON, REPORTED = 400_000, 2
 ROUNDS = 3
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -205,7 +205,7 @@ def common_tokens(keyed: DataFrame, measure: Measure, most: int = COMMON) -> tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch, 12_000_000):
+            for part in _slices(batch):
                 tokens, count = np.unique(np.concatenate(shingle_sets(part.column("text").to_pylist(), measure.words)), return_counts=True)
                 many = count >= REPORTED
                 yield pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["token", "n"])
@@ -280,24 +280,51 @@ def _trie_group(measure: Measure) -> Callable:
     return run
 
 
-def _pairs_group(measure: Measure) -> Callable:
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of different components, within a block or between two, whose sizes and histograms allow a link."""
-        i, j = key[1], key[2]
-        left = rows[rows.block == i].sort_values(["n", "rep"])
-        right = left if i == j else rows[rows.block == j].sort_values(["n", "rep"])
-        out: list[np.ndarray] = []
-        if len(left) and len(right):
-            nr, cr, ir = right.n.to_numpy(), right.component.to_numpy(), right.rep.to_numpy()
-            hr = np.stack([np.frombuffer(b, np.uint32) for b in right.bins]).astype(np.int32)
-            for n, c, r, b in zip(left.n, left.component, left.rep, left.bins, strict=True):
-                lo, hi = np.searchsorted(nr, [-(-measure.percent * n // 100), 100 * n // measure.percent + 1])
-                at = lo + np.flatnonzero(cr[lo:hi] != c)
-                if len(at):
-                    most = np.minimum(hr[at], np.frombuffer(b, np.uint32).astype(np.int32)).sum(1)
-                    for o in ir[at[most >= measure.need(int(n), nr[at].astype(np.int64))]]:
-                        out.append((min(r, o), max(r, o)))
-        return pd.DataFrame(list(dict.fromkeys(out)), columns=["a", "b"]).astype("int64")
+def _pairs_of_runs(measure: Measure) -> Callable:
+    """Pairs of different components, within a block or between two, whose sizes and histograms allow a link; from rows
+    sorted by bucket, pair of blocks and size, all buckets of a batch at once. A bucket that a batch cuts is held over."""
+
+    def pairs(t: pa.Table) -> np.ndarray:
+        column = lambda c: t.column(c).to_numpy()
+        keys = np.stack([column(c).astype(np.int64) for c in ("token", "i", "j")], 1)
+        run = np.cumsum(np.append(False, (keys[1:] != keys[:-1]).any(1)))
+        n, component, rep, block = column("n").astype(np.int64), column("component"), column("rep"), column("block")
+        across = column("i") != column("j")
+        bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint32).reshape(-1, BINS)
+        out, left, d = [], np.arange(len(run)), 1
+        while len(left):
+            left = left[left + d < len(run)]
+            right = left + d
+            near = (run[left] == run[right]) & (100 * n[left] >= measure.percent * n[right])
+            left = left[near]  # sizes rise within a bucket: what is too small for this row is for all later ones
+            right = left + d
+            good = (component[left] != component[right]) & ~(across[left] & (block[left] == block[right]))
+            a, b = left[good], right[good]
+            for at in range(0, len(a), 100_000):
+                p, q = a[at : at + 100_000], b[at : at + 100_000]
+                fits = np.minimum(bins[p], bins[q]).sum(1) >= measure.need(n[p], n[q])
+                x, y = rep[p[fits]], rep[q[fits]]
+                out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+            d += 1
+        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+            if not len(t):
+                continue
+            keys = [t.column(c).to_numpy() for c in ("token", "i", "j")]
+            differs = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in keys]))
+            cut = int(differs[-1]) + 1 if len(differs) else 0
+            held = t.slice(cut)
+            if cut:
+                found = pairs(t.slice(0, cut))
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+        if held is not None:
+            found = pairs(held)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return run
 
@@ -361,7 +388,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("*", other).select("token", "rep", "n", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     dealt = dealt.join(sets.select("rep", "bins"), "rep")
-    pairs = dealt.groupBy("token", "i", "j").applyInPandas(_pairs_group(measure), "a long, b long").distinct()
+    runs = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
+    pairs = runs.select("token", "i", "j", "block", "rep", "n", "component", "bins").mapInArrow(_pairs_of_runs(measure), "a long, b long").distinct()
     whole = pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b")
     edges = materialize(edges.unionByName(whole.select("a", "b", "x", "y").mapInArrow(_verified(measure), "a long, b long")), "links")
     found = components(edges)
