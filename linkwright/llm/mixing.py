@@ -48,14 +48,16 @@ def fit_classifier(labelled: DataFrame, domains: tuple[str, ...], *, text_col: s
     """Fit on at most `sample` rows of a labelled table (a documented bound: those whose ids have the smallest hashes).
     Rows with a null or unknown domain are left out. Each row's features are made on the executors: 8 KB a row go to the driver."""
     rows = labelled.where(F.col(domain_col).isin(*domains)).select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{domain_col}`").alias("domain"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    rows = rows.orderBy(F.xxhash64("id"), "id", "domain", F.xxhash64("text")).limit(sample)
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    picked = rows.select("id", "domain", "h").distinct().orderBy(F.xxhash64("id"), "id", "domain", "h").limit(sample)
+    rows = rows.join(F.broadcast(picked), ["id", "domain", "h"], "left_semi")  # texts are read where they lie
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f = trigram_features(batch.column("text").to_pylist())[0]
             yield pa.RecordBatch.from_arrays([batch.column("domain"), pa.array([x.tobytes() for x in f], pa.binary())], names=["domain", "f"])
 
-    got = rows.mapInArrow(run, "domain string, f binary").collect()
+    got = sorted(rows.select("domain", "text").mapInArrow(run, "domain string, f binary").collect(), key=lambda r: (r.domain, bytes(r.f)))
     if not got:
         return Classifier(domains, None)
     x = np.stack([np.frombuffer(r.f, np.float32) for r in got]).astype(np.float64)
@@ -203,9 +205,10 @@ def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *,
 WEIGHTS = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
 
 
-def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labelled table: documents that `labels` covers, with their language as domain."""
-    return docs.select("doc_id", "text", F.col("lang").alias("domain")).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+def labelled_languages(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> DataFrame:
+    """The labelled table: documents that `labels` covers (at most `sample` ids, a documented bound), with their language as domain."""
+    ids = labels.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    return docs.select("doc_id", "text", F.col("lang").alias("domain")).join(F.broadcast(ids), "doc_id", "left_semi")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
