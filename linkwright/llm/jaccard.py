@@ -9,8 +9,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linkwright.llm.components import components
 from linkwright.llm.shared import forget, materialize
@@ -194,8 +194,14 @@ def _slices(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordB
     yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
 
 
-PREFIXES = "doc_id long, k1 long, k2 int, n int, token long"
-SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, m0 long, m1 long, m2 long"
+PREFIXES = "doc_id long, k1 long, k2 int, n int, bins binary, token long"
+SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, m0 long, m1 long, m2 long"
+
+
+def histogram(tokens: np.ndarray) -> bytes:
+    """How many tokens fall in each bin, a byte each; all 255 (which bounds nothing) where one doesn't fit."""
+    count = np.bincount((tokens & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
+    return (count if count.max(initial=0) < 256 else np.full(BINS, 255)).astype(np.uint8).tobytes()
 
 
 def common_tokens(keyed: DataFrame, measure: Measure, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
@@ -235,16 +241,26 @@ def rare_first(sets: list[np.ndarray], common: tuple[np.ndarray, np.ndarray]) ->
 
 
 def _prefixes(measure: Measure, common) -> Callable:
+    """A row without a token for each document, and a row for each token of its prefix; a text that a task has had already
+    has no more prefix rows, so a hot group of copies sends a task's worth of them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
             for part in _slices(batch):
                 sets = rare_first(shingle_sets(part.column("text").to_pylist(), measure.words), common.value)
+                m = len(sets)
+                k = np.zeros(m, np.int64)
+                for i, key in enumerate(zip(part.column("k1").to_pylist(), part.column("k2").to_pylist(), strict=True)):
+                    if len(sets[i]) and key not in seen:
+                        seen.add(key)
+                        k[i] = measure.prefix(len(sets[i]))
+                of = np.concatenate([np.arange(m), np.repeat(np.arange(m), k)])
+                tokens = np.concatenate([np.zeros(m, np.uint64), *[s[:j] for s, j in zip(sets, k, strict=True)]]).view(np.int64)
+                row = np.arange(len(of)) >= m
+                bins = pa.array([histogram(s) for s in sets] + [None] * (len(of) - m), pa.binary())
                 n = np.array([len(s) for s in sets], np.int32)
-                k = np.array([measure.prefix(len(s)) if len(s) else 0 for s in sets])
-                of = np.concatenate([np.arange(len(sets)), np.repeat(np.arange(len(sets)), k)])
-                tokens = np.concatenate([np.zeros(len(sets), np.uint64), *[s[:j] for s, j in zip(sets, k, strict=True)]]).view(np.int64)
-                row = np.arange(len(of)) >= len(sets)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(of, mask=row)), part.column("k1").take(pa.array(of)), part.column("k2").take(pa.array(of)), pa.array(n[of]), pa.array(tokens, mask=~row)], names=[c.split()[0] for c in PREFIXES.split(", ")])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(of, mask=row)), part.column("k1").take(pa.array(of)), part.column("k2").take(pa.array(of, mask=row)), pa.array(n[of], mask=row), bins, pa.array(tokens, mask=~row)], names=[c.split()[0] for c in PREFIXES.split(", ")])
 
     return run
 
@@ -257,9 +273,8 @@ def _sets(measure: Measure, slots: np.ndarray) -> Callable:
                 sets = shingle_sets(part.column("text").to_pylist(), measure.words)
                 if not sets:
                     continue
-                bins = [np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes() for s in sets]
                 least = [[int(_mix(s * salt).min().view(np.int64)) if len(s) else 0 for s in sets] for salt in _SALTS]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(bins, pa.binary()), *[pa.array(m, pa.int64()) for m in least]], names=[c.split()[0] for c in SETS.split(", ")])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), *[pa.array(m, pa.int64()) for m in least]], names=[c.split()[0] for c in SETS.split(", ")])
 
     return run
 
@@ -280,55 +295,87 @@ def _trie_group(measure: Measure) -> Callable:
     return run
 
 
+def _fitting(t: pa.Table, measure: Measure, alive: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of rows of the same bucket and pair of blocks whose sizes and histograms allow a link: of all buckets at
+    once, rows one apart, two apart and so on. alive: marks to which the caller adds; pairs of marked rows are left out.
+    With a column `component`, pairs within one are left out too."""
+    column = lambda c: t.column(c).to_numpy()
+    keys = np.stack([column(c).astype(np.int64) for c in ("token", "i", "j")], 1)
+    run = np.cumsum(np.append(False, (keys[1:] != keys[:-1]).any(1)))
+    n, block, across = column("n").astype(np.int64), column("block"), column("i") != column("j")
+    component = column("component") if "component" in t.column_names else np.arange(len(run))
+    bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+    open_ = bins.min(1) == 255
+    left, d = np.arange(len(run)), 1
+    while len(left):
+        left = left[left + d < len(run)]
+        near = (run[left] == run[left + d]) & (100 * n[left] >= measure.percent * n[left + d])
+        left = left[near]  # sizes rise within a bucket: what is too small for this row is for all later ones
+        right = left + d
+        good = (component[left] != component[right]) & ~(across[left] & (block[left] == block[right]))
+        if alive is not None:
+            good &= ~(alive[left] & alive[right])
+        a, b = left[good], right[good]
+        for at in range(0, len(a), 100_000):
+            p, q = a[at : at + 100_000], b[at : at + 100_000]
+            fits = (np.minimum(bins[p], bins[q]).sum(1, dtype=np.int64) >= measure.need(n[p], n[q])) | open_[p] | open_[q]
+            yield p[fits], q[fits]
+        d += 1
+
+
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows as tables that cut no run of (token, i, j)."""
+    held: pa.Table | None = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+        if not len(t):
+            continue
+        keys = [t.column(c).to_numpy() for c in ("token", "i", "j")]
+        differs = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in keys]))
+        cut = int(differs[-1]) + 1 if len(differs) else 0
+        held = t.slice(cut).combine_chunks()
+        if cut:
+            yield t.slice(0, cut).combine_chunks()
+    if held is not None and len(held):
+        yield held
+
+
+def _alive(measure: Measure) -> Callable:
+    """The classes that have a fitting partner in some bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_runs(batches):
+            alive = np.zeros(len(t), bool)
+            for p, q in _fitting(t, measure, alive):
+                alive[p] = alive[q] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(t.column("rep").to_numpy()[alive]))], names=["rep"])
+
+    return run
+
+
 def _pairs_of_runs(measure: Measure) -> Callable:
-    """Pairs of different components, within a block or between two, whose sizes and histograms allow a link; from rows
-    sorted by bucket, pair of blocks and size, all buckets of a batch at once. A bucket that a batch cuts is held over."""
-
-    def pairs(t: pa.Table) -> np.ndarray:
-        column = lambda c: t.column(c).to_numpy()
-        keys = np.stack([column(c).astype(np.int64) for c in ("token", "i", "j")], 1)
-        run = np.cumsum(np.append(False, (keys[1:] != keys[:-1]).any(1)))
-        n, component, rep, block = column("n").astype(np.int64), column("component"), column("rep"), column("block")
-        across = column("i") != column("j")
-        bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint32).reshape(-1, BINS)
-        out, left, d = [], np.arange(len(run)), 1
-        while len(left):
-            left = left[left + d < len(run)]
-            right = left + d
-            near = (run[left] == run[right]) & (100 * n[left] >= measure.percent * n[right])
-            left = left[near]  # sizes rise within a bucket: what is too small for this row is for all later ones
-            right = left + d
-            good = (component[left] != component[right]) & ~(across[left] & (block[left] == block[right]))
-            a, b = left[good], right[good]
-            for at in range(0, len(a), 100_000):
-                p, q = a[at : at + 100_000], b[at : at + 100_000]
-                fits = np.minimum(bins[p], bins[q]).sum(1) >= measure.need(n[p], n[q])
-                x, y = rep[p[fits]], rep[q[fits]]
-                out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
-            d += 1
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    """Fitting pairs of different components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
-            if not len(t):
-                continue
-            keys = [t.column(c).to_numpy() for c in ("token", "i", "j")]
-            differs = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in keys]))
-            cut = int(differs[-1]) + 1 if len(differs) else 0
-            held = t.slice(cut)
-            if cut:
-                found = pairs(t.slice(0, cut))
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
-        if held is not None:
-            found = pairs(held)
+        for t in _whole_runs(batches):
+            rep, out = t.column("rep").to_numpy(), [np.zeros((0, 2), np.int64)]
+            for p, q in _fitting(t, measure, None):
+                out.append(np.stack([np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q])], 1))
+            found = np.unique(np.concatenate(out), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
     return run
 
 
+def _in_runs(rows: DataFrame, pair_block: int, columns: list[str]) -> DataFrame:
+    """Rows of buckets with at least two of them, dealt out as pairs of blocks and sorted into runs by size."""
+    dealt = _dealt(rows, "token", pair_block)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("*", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "bins", *columns)
+    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
+
+
 def _verified(measure: Measure) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -349,31 +396,38 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     component. An empty table gives no rows. Only id_col and text_col are read.
 
     0. One pass counts tokens; the most frequent (a fixed number of them, so they can be broadcast) end the global order.
-    1. One pass writes each document's size and the prefix of its ordered set. Equal texts are one class. A token whose
-       prefix holders are one class can't link anything; what remains are buckets.
-    2. A second pass makes the sets of documents in such buckets, and only of those.
+    1. One pass writes each document's size, histogram and the prefix of its ordered set. Equal texts are one class. A
+       token whose prefix holders are one class can't link anything; what remains are buckets. Classes whose sizes and
+       histograms, which bound the overlap from above, allow no partner in any bucket are done.
+    2. A second pass makes the sets of the others, and only of those.
     3. A few rounds contract: classes with an equal min-hash meet in tries, then only one class of each component goes on.
-    4. The buckets that still hold different components are compared in blocks by size and histogram, both of which bound
-       the overlap from above, and what passes is verified on whole sets. So no link between components is missed.
+    4. The buckets that still hold different components are compared in blocks by size and histogram, and what passes is
+       verified on whole sets. So no link between components is missed.
     Groups of copies emit at most one edge per member and round; no bucket is held whole by a task.
     """
     spark = docs.sparkSession
     keyed = _by_texts(docs, id_col, text_col)
     common = spark.sparkContext.broadcast(common_tokens(keyed, measure))
     rows = materialize(keyed.mapInArrow(_prefixes(measure, common), PREFIXES), "prefixes")
-    table = rows.where("token IS NULL").select("doc_id", "k1", "k2", "n")
-    prefixes = rows.where("token IS NOT NULL").select("token", "k1", "k2", "n")
-    shared = prefixes.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high").select("token")
-    buckets = materialize(prefixes.join(shared, "token", "left_semi").distinct(), "buckets")
-    reps = table.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    reps = materialize(reps.join(buckets.select("k1", "k2").distinct().withColumn("live", F.lit(True)), ["k1", "k2"], "left").withColumn("live", F.coalesce("live", F.lit(False))), "reps")
-    live = reps.where("live").drop("live")
+    table = materialize(rows.where("token IS NULL").select("doc_id", "k1", "k2", "n", "bins"), "table")
+    prefixes = rows.where("token IS NOT NULL").select("token", "k1").repartition("token").distinct()
+    by_token = W.partitionBy("token")
+    shared = prefixes.withColumns({"low": F.min("k1").over(by_token), "high": F.max("k1").over(by_token)}).where("low <> high")
+    buckets = materialize(shared.select("token", "k1"), "buckets")
+    forget(rows)
+    reps = table.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bins").alias("bins"))
+    reps = materialize(reps, "reps")
+    named = buckets.join(reps.drop("k2"), "k1").select("token", "rep", "n", "bins")
+    fitting = materialize(_in_runs(named, pair_block, []).mapInArrow(_alive(measure), "rep long").distinct(), "fitting")
+    named = materialize(named.select("token", "rep").join(fitting, "rep", "left_semi"), "named")
+    forget(buckets)
+    live = reps.join(fitting, "rep", "left_semi").select("rep", "k1", "k2")
     slots = np.zeros(SLOTS, bool)
     slots[[r.s for r in live.select(F.pmod("k1", F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
     sets = keyed.mapInArrow(_sets(measure, np.packbits(slots)), SETS).join(live.withColumnRenamed("rep", "doc_id"), ["doc_id", "k1", "k2"], "left_semi")
     sets = materialize(sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
 
-    twice = table.where("n > 0").join(reps, ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
+    twice = table.where("n > 0").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
     edges = materialize(twice, "links")
     found = components(edges)
     for k in range(rounds):
@@ -382,19 +436,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         new = dealt.groupBy("m", "block").applyInPandas(_trie_group(measure), "a long, b long")
         edges = materialize(edges.unionByName(new), "links")
         found = components(edges)
-    named = buckets.join(live, ["k1", "k2"]).select("token", "rep", "n").join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    named = named.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    dealt = _dealt(named.join(mixed, "token"), "token", pair_block)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("*", other).select("token", "rep", "n", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    dealt = dealt.join(sets.select("rep", "bins"), "rep")
-    runs = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
-    pairs = runs.select("token", "i", "j", "block", "rep", "n", "component", "bins").mapInArrow(_pairs_of_runs(measure), "a long, b long").distinct()
+    mixed = named.join(mixed, "token", "left_semi").join(reps.select("rep", "n", "bins"), "rep")
+    pairs = _in_runs(mixed, pair_block, ["component"]).mapInArrow(_pairs_of_runs(measure), "a long, b long").distinct()
     whole = pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b")
     edges = materialize(edges.unionByName(whole.select("a", "b", "x", "y").mapInArrow(_verified(measure), "a long, b long")), "links")
     found = components(edges)
     forget(sets)
-    out = table.join(reps.drop("live"), ["k1", "k2"], "left").join(found, F.col("rep") == F.col("node"), "left")
+    out = table.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(found, F.col("rep") == F.col("node"), "left")
     linked = F.when(F.col("n") > 0, F.coalesce("component", "rep"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce(linked, "doc_id")).alias("component_id"))
 
