@@ -18,7 +18,7 @@ from linkwright.llm.shared import forget, materialize
 #: Documents of a bucket that one task holds in a trie, and rows that it compares by their histograms.
 TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
 #: Slots of the fixed-size table by which the second pass skips documents without a possible partner; bins of a histogram.
-SLOTS, BINS = 1 << 20, 64
+SLOTS, BINS, FINE_BINS = 1 << 20, 64, 512
 #: Most frequent tokens that go to the end of the global order, and how often a task must meet one in a slice to report it.
 COMMON, REPORTED = 400_000, 2
 ROUNDS = 3
@@ -195,13 +195,13 @@ def _slices(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordB
 
 
 PREFIXES = "doc_id long, k1 long, k2 int, n int, bins binary, token long"
-SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, m0 long, m1 long, m2 long"
+SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, m0 long, m1 long, m2 long"
 
 
-def histogram(tokens: np.ndarray) -> bytes:
+def histogram(tokens: np.ndarray, bins: int = BINS) -> bytes:
     """How many tokens fall in each bin, a byte each; all 255 (which bounds nothing) where one doesn't fit."""
-    count = np.bincount((tokens & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-    return (count if count.max(initial=0) < 256 else np.full(BINS, 255)).astype(np.uint8).tobytes()
+    count = np.bincount((tokens & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
+    return (count if count.max(initial=0) < 256 else np.full(bins, 255)).astype(np.uint8).tobytes()
 
 
 def common_tokens(keyed: DataFrame, measure: Measure, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
@@ -268,13 +268,14 @@ def _prefixes(measure: Measure, common) -> Callable:
 def _sets(measure: Measure, slots: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = np.unpackbits(slots)[batch.column("k1").to_numpy() % SLOTS].astype(bool)
+            texts, ids = np.unpackbits(slots, axis=1)
+            wanted = (texts[batch.column("k1").to_numpy() % SLOTS] & ids[batch.column("doc_id").fill_null(0).to_numpy() % SLOTS]).astype(bool)
             for part in _slices(batch.filter(pa.array(wanted))):
                 sets = shingle_sets(part.column("text").to_pylist(), measure.words)
                 if not sets:
                     continue
                 least = [[int(_mix(s * salt).min().view(np.int64)) if len(s) else 0 for s in sets] for salt in _SALTS]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), *[pa.array(m, pa.int64()) for m in least]], names=[c.split()[0] for c in SETS.split(", ")])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([histogram(s, FINE_BINS) for s in sets], pa.binary()), *[pa.array(m, pa.int64()) for m in least]], names=[c.split()[0] for c in SETS.split(", ")])
 
     return run
 
@@ -304,7 +305,7 @@ def _fitting(t: pa.Table, measure: Measure, alive: np.ndarray | None) -> Iterato
     run = np.cumsum(np.append(False, (keys[1:] != keys[:-1]).any(1)))
     n, block, across = column("n").astype(np.int64), column("block"), column("i") != column("j")
     component = column("component") if "component" in t.column_names else np.arange(len(run))
-    bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+    bins = np.frombuffer(b"".join(t.column("bins").to_pylist()), np.uint8).reshape(len(run), -1)
     open_ = bins.min(1) == 255
     left, d = np.arange(len(run)), 1
     while len(left):
@@ -316,8 +317,8 @@ def _fitting(t: pa.Table, measure: Measure, alive: np.ndarray | None) -> Iterato
         if alive is not None:
             good &= ~(alive[left] & alive[right])
         a, b = left[good], right[good]
-        for at in range(0, len(a), 100_000):
-            p, q = a[at : at + 100_000], b[at : at + 100_000]
+        for at in range(0, len(a), 20_000):
+            p, q = a[at : at + 20_000], b[at : at + 20_000]
             fits = (np.minimum(bins[p], bins[q]).sum(1, dtype=np.int64) >= measure.need(n[p], n[q])) | open_[p] | open_[q]
             yield p[fits], q[fits]
         d += 1
@@ -369,8 +370,8 @@ def _pairs_of_runs(measure: Measure) -> Callable:
 
 
 def _in_runs(rows: DataFrame, pair_block: int, columns: list[str]) -> DataFrame:
-    """Rows of buckets with at least two of them, dealt out as pairs of blocks and sorted into runs by size."""
-    dealt = _dealt(rows, "token", pair_block)
+    """Rows (token, size of its bucket, rep, n, bins) dealt out as pairs of blocks and sorted into runs by n."""
+    dealt = rows.withColumn("blocks", F.ceil(F.col("size") / pair_block).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("*", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "bins", *columns)
     return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
@@ -412,20 +413,21 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     table = materialize(rows.where("token IS NULL").select("doc_id", "k1", "k2", "n", "bins"), "table")
     prefixes = rows.where("token IS NOT NULL").select("token", "k1").repartition("token").distinct()
     by_token = W.partitionBy("token")
-    shared = prefixes.withColumns({"low": F.min("k1").over(by_token), "high": F.max("k1").over(by_token)}).where("low <> high")
-    buckets = materialize(shared.select("token", "k1"), "buckets")
+    shared = prefixes.withColumns({"low": F.min("k1").over(by_token), "high": F.max("k1").over(by_token), "size": F.count("*").over(by_token)}).where("low <> high")
+    buckets = materialize(shared.select("token", "k1", F.col("size").cast("int").alias("size")), "buckets")
     forget(rows)
     reps = table.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bins").alias("bins"))
     reps = materialize(reps, "reps")
-    named = buckets.join(reps.drop("k2"), "k1").select("token", "rep", "n", "bins")
-    fitting = materialize(_in_runs(named, pair_block, []).mapInArrow(_alive(measure), "rep long").distinct(), "fitting")
-    named = materialize(named.select("token", "rep").join(fitting, "rep", "left_semi"), "named")
+    fitting = materialize(_in_runs(buckets.join(reps.drop("k2"), "k1"), pair_block, []).mapInArrow(_alive(measure), "rep long").distinct(), "fitting")
+    live = materialize(reps.join(fitting, "rep", "left_semi").select("rep", "n", "k1", "k2"), "live")
+    named = materialize(buckets.join(live.select("k1", "rep", "n"), "k1").select("token", "rep", "n"), "named")
     forget(buckets)
-    live = reps.join(fitting, "rep", "left_semi").select("rep", "k1", "k2")
-    slots = np.zeros(SLOTS, bool)
-    slots[[r.s for r in live.select(F.pmod("k1", F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
-    sets = keyed.mapInArrow(_sets(measure, np.packbits(slots)), SETS).join(live.withColumnRenamed("rep", "doc_id"), ["doc_id", "k1", "k2"], "left_semi")
-    sets = materialize(sets.withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
+    slots = np.zeros((2, SLOTS), bool)
+    for i, c in enumerate(("k1", "rep")):
+        slots[i, [r.s for r in live.select(F.pmod(c, F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
+    mine = live.select("rep", F.col("k1").alias("l1"), F.col("k2").alias("l2"))
+    sets = keyed.mapInArrow(_sets(measure, np.packbits(slots, axis=1)), SETS).join(mine, F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
+    sets = materialize(sets.dropDuplicates(["rep", "k1"]), "sets")  # a repeated id can stand for two texts
 
     twice = table.where("n > 0").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
     edges = materialize(twice, "links")
@@ -436,9 +438,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         new = dealt.groupBy("m", "block").applyInPandas(_trie_group(measure), "a long, b long")
         edges = materialize(edges.unionByName(new), "links")
         found = components(edges)
-    named = named.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    mixed = named.join(mixed, "token", "left_semi").join(reps.select("rep", "n", "bins"), "rep")
+    named = named.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high").select("token", "size")
+    mixed = named.join(mixed, "token").join(sets.select("rep", "bins"), "rep")
     pairs = _in_runs(mixed, pair_block, ["component"]).mapInArrow(_pairs_of_runs(measure), "a long, b long").distinct()
     whole = pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b")
     edges = materialize(edges.unionByName(whole.select("a", "b", "x", "y").mapInArrow(_verified(measure), "a long, b long")), "links")

@@ -71,10 +71,10 @@ def test_against_brute_force(spark):
 
 
 def test_repeated_and_null_ids(spark):
-    a, b = "one two three four five six seven", "a completely different text with words in it"
-    df = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b), (None, a), (None, ""), (5, ""), (6, "")], "doc_id long, text string")
+    a, b = "one two three four five six seven", "a completely different text with words in it that goes on and on for quite a while"
+    df = spark.createDataFrame([(1, a), (1, b), (2, a), (3, b), (9, b + " x"), (None, a), (None, ""), (5, ""), (6, "")], "doc_id long, text string")
     got = [(r.doc_id, r.component_id) for r in jaccard.near_duplicates(df).collect()]
-    assert sorted(got, key=str) == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (None, None), (None, None), (5, 5), (6, 6)], key=str)
+    assert sorted(got, key=str) == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (9, 1), (None, None), (None, None), (5, 5), (6, 6)], key=str)
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
