@@ -5,10 +5,690 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkwright.functions import fuzzy
+from linkwright.functions import normalize as N
+from linkwright.functions.vocab import ADDRESS_STOPWORDS, LEGAL, PHONETIC, mine_countries
+from linkwright.operators import baselines, blocking, context, decide, features, graph, metrics, profile, split, validate
+from linkwright.operators.blocking import CHANNELS, Caps
+from linkwright.plans import fixtures as X
+from linkwright.plans.resolve import candidates, resolve
+from linkwright.sources import io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: Caps small enough to bind on the driver's tables.
+SMALL = Caps(per_key=5, total=12, narrow=4, pair=3, anchor=2)
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, n: int = 6) -> DataFrame:
+    return df.select(*[F.round(F.col(c), n).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+# --- normalization -------------------------------------------------------------------------------------------------
+
+_LEGAL_SQL = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in LEGAL.items() if " " not in k and "." not in k) + "}"
+_E, _N, _TRUTH, _SCORED, _LABELS = X.SQL_PART, X.SQL_PART, X.SQL_TRUTH, X.SQL_SCORED, X.SQL_LABELS
+_E_CUST = """e AS (SELECT 'S1-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS entity_id, c_name AS business_name, c_mktsegment AS business_address, n_name AS country
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT 'S2-' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0'), s_name, '', n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+_E_DOCS = """w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r]+'), lambda x: x <> '') AS w FROM documents),
+e AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS entity_id, array_to_string(w[1:6], ' ') AS business_name, array_to_string(w[7:18], ' ') AS business_address, lang AS country FROM w)"""
+
+
+@query(f"WITH {_N} SELECT entity_id, name_norm, array_to_string(list_transform(toks, lambda t: coalesce({_LEGAL_SQL}[t], t)), ' ') = name_norm AS plain, name_sorted AS name_tokens_sorted, false AS name_is_degenerate FROM n")
+def norm_name(spark, sf):
+    n = N.normalize(X.e_part(spark, sf))
+    return n.select("entity_id", "name_norm", (F.array_join("name_tokens", " ") == F.col("name_norm")).alias("plain"), "name_tokens_sorted", "name_is_degenerate")
+
+
+@query(f"WITH {_N} SELECT entity_id, addr_norm, addr_norm AS addr_core, '' AS addr_landmark, array_to_string(regexp_extract_all(addr_norm, '\\b\\d+[a-zA-Z]?\\b'), ',') AS numbers, length(addr_norm) <= 2 AS addr_is_degenerate FROM n")
+def norm_address(spark, sf):
+    n = N.normalize(X.e_part(spark, sf))
+    return n.select("entity_id", "addr_norm", "addr_core", "addr_landmark", F.array_join("addr_numbers", ",").alias("numbers"), "addr_is_degenerate")
+
+
+@query(f"WITH {_E_CUST} SELECT entity_id, CASE WHEN trim(country) = '' THEN 'unknown' WHEN lower(trim(country)) IN ('united states', 'usa', 'us') THEN 'us' ELSE lower(trim(country)) END AS country_norm FROM e")
+def norm_country(spark, sf):
+    return X.e_cust(spark, sf).select("entity_id", N.normalize_country(F.col("country")).alias("country_norm"))
+
+
+def _phonetic_sql(x: str) -> str:
+    x = f"lower({x})"
+    for words, to in PHONETIC:
+        x = f"regexp_replace({x}, '\\b(?:{words})\\b', '{to}', 'g')"
+    for c in "abcdefghijklmnopqrstuvwxyz":
+        x = f"regexp_replace({x}, '{c}+', '{c}', 'g')"
+    return f"trim({x})"
+
+
+@query(f"WITH {_N} SELECT entity_id, {_phonetic_sql('name_norm')} AS phonetic FROM n")
+def norm_phonetic(spark, sf):
+    return N.normalize(X.e_part(spark, sf)).select("entity_id", N.phonetic(F.col("name_norm")).alias("phonetic"))
+
+
+@query()
+def norm_phonetic_diagnostic(spark, sf):
+    return N.normalize(X.e_docs(spark, sf)).select("entity_id", N.phonetic_diagnostic(F.col("name_norm")).alias("phonetic"))
+
+
+@query()
+def norm_documents(spark, sf):
+    """Multilingual names and addresses through the whole normalizer (accents by compatibility decomposition)."""
+    return N.normalize(X.e_docs(spark, sf)).drop("name_tokens", "addr_tokens", "addr_numbers")
+
+
+@query("SELECT doc_id, coalesce(regexp_extract(text, '\\b(?:[1-9][0-9]{5}|[0-9]{5})\\b', 0), '') AS postal FROM documents")
+def norm_postal(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    return d.select("doc_id", N.postal_code(F.coalesce("text", F.lit("")), F.lit("")).alias("postal"))
+
+
+@query(f"WITH {_E} SELECT 'LATIN' AS script, count(*) AS n FROM e")
+def norm_script(spark, sf):
+    return profile.scripts(X.e_part(spark, sf))
+
+
+_DISTINCT_SQL = f"list_sort(list_distinct(list_filter(atoks, lambda t: length(t) >= 4 AND NOT list_contains([{', '.join(repr(w) for w in ADDRESS_STOPWORDS)}], t) AND NOT regexp_full_match(t, '[0-9]+'))))"
+
+
+@query(f"WITH {_N} SELECT entity_id, array_to_string({_DISTINCT_SQL}, ' ') AS tokens FROM n")
+def norm_distinctive_tokens(spark, sf):
+    return N.normalize(X.e_part(spark, sf)).select("entity_id", F.array_join(N.distinctive(F.col("addr_tokens")), " ").alias("tokens"))
+
+
+_STRATA = """st AS (SELECT e.entity_id AS s1_id, CASE WHEN upper(trim(e.country)) IN ('US', 'USA', 'UNITED STATES') THEN 'US' WHEN upper(trim(e.country)) IN ('IN', 'IND', 'INDIA') THEN 'IN' WHEN upper(trim(e.country)) IN ('FR', 'FRA', 'FRANCE') THEN 'FR' ELSE 'OTHER' END AS country_group,
+  CASE WHEN count(cand_id) = 0 THEN '0' WHEN count(cand_id) = 1 THEN '1' WHEN count(cand_id) <= 5 THEN '2-5' ELSE '6+' END AS cardinality,
+  CASE WHEN count(*) FILTER (cand_id LIKE 'S2%') > 0 AND count(*) FILTER (cand_id LIKE 'S3%') > 0 THEN 'both_s2_s3' WHEN count(*) FILTER (cand_id LIKE 'S2%') > 0 THEN 's2_only' WHEN count(*) FILTER (cand_id LIKE 'S3%') > 0 THEN 's3_only' ELSE 'none' END AS pattern
+  FROM e LEFT JOIN truth ON e.entity_id = truth.s1_id WHERE e.entity_id LIKE 'S1%' GROUP BY ALL)"""
+_STRATA = _STRATA.replace("GROUP BY ALL", "GROUP BY e.entity_id, e.country")
+
+
+def _s1(spark, sf):
+    return X.e_part(spark, sf).where("entity_id LIKE 'S1%'")
+
+
+def _universe(spark, sf):
+    return _s1(spark, sf).select(F.col("entity_id").alias("s1_id"))
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_STRATA} SELECT * FROM st")
+def strata(spark, sf):
+    return split.strata(_s1(spark, sf), X.part_truth(spark, sf))
+
+
+@query(f"WITH {_N}, {_TRUTH}, g AS (SELECT s1_id, string_agg(cand_id, ',' ORDER BY cand_id) AS ids FROM truth GROUP BY 1) SELECT s1_id, unnest(string_split(ids, ',')) AS cand_id FROM g")
+def scan_id_lists(spark, sf):
+    return io.links(io.widen(_universe(spark, sf), X.part_truth(spark, sf)))
+
+
+# --- baselines -----------------------------------------------------------------------------------------------------
+
+for _name, _keys, _on in (
+    ("baseline_raw_name", baselines.RAW, "lower(trim(a.business_name)) = lower(trim(b.business_name))"),
+    ("baseline_name", baselines.NAME, "a.name_norm = b.name_norm"),
+    ("baseline_name_country", baselines.NAME_COUNTRY, "a.name_norm = b.name_norm AND a.country_norm = b.country_norm"),
+    ("baseline_name_address_country", baselines.NAME_ADDRESS, "a.name_norm = b.name_norm AND a.addr_norm = b.addr_norm AND a.country_norm = b.country_norm"),
+):
+
+    def _match(spark, sf, keys=_keys):
+        a, b = X.sides(X.e_part(spark, sf))
+        return baselines.exact_match(a, b, keys)
+
+    _match.__name__ = _name
+    query(f"WITH {_N} SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM s1 a JOIN pool b ON {_on}")(_match)
+
+# --- blocking ------------------------------------------------------------------------------------------------------
+
+_NUM = "regexp_extract(addr_norm, '\\b\\d+[a-zA-Z]?\\b', 0)"
+_N3, _P2, _PH = "substr(name_norm, 1, 3)", "toks[1] || ' ' || toks[2]", _phonetic_sql("name_norm")
+_PT = f"string_split({_PH}, ' ')"
+_DF = """ndf AS (SELECT t, count(*) AS df FROM (SELECT DISTINCT entity_id, unnest(toks) AS t FROM pool) WHERE length(t) >= 3 GROUP BY 1),
+adf AS (SELECT t, count(*) AS df FROM (SELECT DISTINCT entity_id, unnest(atoks) AS t FROM pool) WHERE length(t) >= 3 GROUP BY 1)"""
+
+
+def _toks(side: str, column: str, df: str) -> str:
+    return f"(SELECT x.*, coalesce(d.df, 0) AS df FROM (SELECT *, unnest({column}) AS t, generate_subscripts({column}, 1) AS pos FROM {side}) x LEFT JOIN {df} d ON x.t = d.t)"
+
+
+def _core(side: str, c: Caps) -> str:
+    return f"(SELECT entity_id, country_norm, list_sort(list(t)) AS core FROM {_toks(side, 'toks', 'ndf')} WHERE length(t) >= 3 AND df <= {c.pair_df} GROUP BY 1, 2 HAVING count(*) BETWEEN 2 AND 6)"
+
+
+def _pair_keys(side: str, c: Caps) -> str:
+    one = f"(SELECT *, unnest(core) AS t, generate_subscripts(core, 1) AS pos FROM {_core(side, c)})"
+    return f"SELECT a.entity_id, a.t || '|' || b.t || '|' || a.country_norm AS k, a.pos * 100 + b.pos AS pos FROM {one} a JOIN {one} b ON a.entity_id = b.entity_id AND a.pos < b.pos"
+
+
+def _channel_sql(ch: str, c: Caps) -> tuple[list[str], list[str]]:
+    """SELECTs of the build side (ix, k, cand_id) and the probe side (ch, ix, k, s1_id, key_pos, cap)."""
+    i = CHANNELS.index(ch)
+    key = lambda *parts: " || '|' || ".join([*parts, "country_norm"])
+    b = lambda ix, k, where="true", src="pool": f"SELECT '{ix}' AS ix, {k} AS k, entity_id AS cand_id FROM {src} WHERE {where}"
+    p = lambda ix, k, cap, pos="0", where="true", src="s1": f"SELECT {i} AS ch, '{ix}' AS ix, {k} AS k, entity_id AS s1_id, {pos} AS key_pos, {cap} AS cap FROM {src} WHERE {where}"
+    num3 = b("num3", key(_NUM, _N3), f"{_NUM} <> ''")
+    addr3 = b("addr3", key("t", _N3), f"length(t) >= 3 AND df <= {c.max_df}", _toks("pool", "atoks", "adf"))
+    if ch == "A":
+        return [b("name", key("name_norm"))], [p("name", key("name_norm"), c.per_key)]
+    if ch == "B":
+        return [b("sorted", key("name_sorted"), "name_sorted <> name_norm"), b("prefix2", key(_P2), "len(toks) >= 2")], [p("sorted", key("name_sorted"), c.per_key), p("prefix2", key(_P2), c.per_key, "1000", "len(toks) >= 2")]
+    if ch == "C":
+        return [num3], [p("num3", key(_NUM, _N3), c.per_key, where=f"{_NUM} <> ''")]
+    if ch == "D":
+        return [addr3], [p("addr3", key("t", _N3), c.narrow, "pos", f"length(t) >= 3 AND df BETWEEN 2 AND {c.max_df}", _toks("s1", "atoks", "adf"))]
+    if ch == "E":
+        good = f"length(t) >= 3 AND df BETWEEN 2 AND {c.max_df}"
+        return [b("token", key("t"), f"{good} AND len(toks) >= 2", _toks("pool", "toks", "ndf"))], [p("token", key("t"), c.narrow, "pos", good, _toks("s1", "toks", "ndf"))]
+    if ch == "G":
+        first = f"(SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY pos) AS nth FROM {_toks('s1', 'atoks', 'adf')} WHERE length(t) >= 3 AND length(name_norm) >= 4)"
+        return [num3, addr3], [p("num3", key(_NUM, _N3), c.narrow, where=f"{_NUM} <> '' AND length(name_norm) >= 4"), p("addr3", key("t", _N3), c.anchor, "1000 + nth", "nth <= 3", first)]
+    if ch == "I":
+        keys = [("ph", _PH, "true"), ("phsorted", f"array_to_string(list_sort({_PT}), ' ')", f"len({_PT}) >= 2"), ("phprefix2", f"({_PT})[1] || ' ' || ({_PT})[2]", f"len({_PT}) >= 2")]
+        return [b(ix, key(k), w) for ix, k, w in keys], [p(ix, key(k), c.per_key, str(1000 * n), w) for n, (ix, k, w) in enumerate(keys)]
+    if ch == "J":
+        return [f"SELECT 'pair' AS ix, k, entity_id AS cand_id FROM ({_pair_keys('pool', c)})"], [f"SELECT {i} AS ch, 'pair' AS ix, k, entity_id AS s1_id, pos AS key_pos, {c.pair} AS cap FROM ({_pair_keys('s1', c)})"]
+    if ch == "K":
+        near = f"pos <= 4 AND length(t) >= 3 AND t <> {_NUM} AND df <= {c.pair_df} AND {_NUM} <> ''"
+        return [b("numstreet", key(_NUM, "t"), near, _toks("pool", "atoks", "adf"))], [p("numstreet", key(_NUM, "t"), c.pair, "pos", near, _toks("s1", "atoks", "adf"))]
+    raise KeyError(ch)
+
+
+def channel_cte(channels: str, c: Caps) -> str:
+    """CTEs that end in chans(ch, s1_id, cand_id, rk)."""
+    both = [_channel_sql(ch, c) for ch in channels]
+    build = " UNION ".join(s for b, _ in both for s in b)
+    probe = " UNION ALL ".join(s for _, p in both for s in p)
+    limit = {"B": 2 * c.per_key, "I": 3 * c.per_key}
+    total = "CASE ch " + " ".join(f"WHEN {CHANNELS.index(ch)} THEN {limit.get(ch, c.total)}" for ch in channels) + " END"
+    return f"""{_N}, {_DF}, b AS ({build}), p AS ({probe}),
+rb AS (SELECT *, row_number() OVER (PARTITION BY ix, k ORDER BY substr(cand_id, 1, 2), cand_id) AS lp FROM b),
+h AS (SELECT ch, s1_id, cand_id, min(key_pos * 1000000 + lp) AS first FROM p JOIN rb ON p.ix = rb.ix AND p.k = rb.k WHERE lp <= cap GROUP BY 1, 2, 3),
+rk AS (SELECT *, row_number() OVER (PARTITION BY ch, s1_id ORDER BY first, cand_id) AS rk FROM h),
+chans AS (SELECT ch, s1_id, cand_id, CAST(rk AS INTEGER) AS rk FROM rk WHERE rk <= {total})"""
+
+
+for _ch in "ABCDEGIJK":
+
+    def _channel(spark, sf, ch=_ch):
+        a, b = X.sides(X.e_part(spark, sf))
+        return blocking.candidates_by_channel(a, b, ch, SMALL).select("s1_id", "cand_id", "list_rank")
+
+    _channel.__name__ = f"channel_{_ch.lower()}"
+    query(f"WITH {channel_cte(_ch, SMALL)} SELECT s1_id, cand_id, rk AS list_rank FROM chans")(_channel)
+
+for _ch in "HLMN":
+
+    def _channel_docs(spark, sf, ch=_ch):
+        a, b = X.sides(X.e_docs(spark, sf))
+        return blocking.candidates_by_channel(a, b, ch, SMALL).select("s1_id", "cand_id", "list_rank")
+
+    _channel_docs.__name__ = f"channel_{_ch.lower()}"
+    query()(_channel_docs)
+
+_MIX = "ACEJ"
+_STORE = "store AS (SELECT s1_id, cand_id, bit_or(CAST(1 AS BIGINT) << ch) AS channel_mask, CAST(count(DISTINCT ch) AS INTEGER) AS channel_count, min(ch) AS first_channel FROM chans GROUP BY 1, 2)"
+_STORED = f"{channel_cte(_MIX, SMALL)}, {_STORE}"
+
+
+def _store(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    return blocking.store(blocking.candidates_by_channel(a, b, _MIX, SMALL))
+
+
+@query(f"WITH {_STORED} SELECT s1_id, cand_id, channel_mask, channel_count FROM store")
+def store_provenance(spark, sf):
+    return _store(spark, sf).select("s1_id", "cand_id", "channel_mask", F.col("channel_count").cast("int").alias("channel_count"))
+
+
+_CAPPED = "capped AS (SELECT *, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY channel_count DESC, first_channel, cand_id) AS INTEGER) AS rank FROM store QUALIFY rank <= 8)"
+
+
+@query(f"WITH {_STORED}, {_CAPPED} SELECT s1_id, cand_id, rank FROM capped")
+def store_ranked_cap(spark, sf):
+    return blocking.cap_candidates(_store(spark, sf), 8).select("s1_id", "cand_id", "rank")
+
+
+@query(f"WITH {_STORED} SELECT s1_id, cand_id, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY first_channel, cand_id) AS INTEGER) AS rank FROM store QUALIFY rank <= 5")
+def store_unranked_cap(spark, sf):
+    return blocking.cap_candidates(_store(spark, sf), 5, ranked=False).select("s1_id", "cand_id", "rank")
+
+
+@query(f"WITH {_STORED} SELECT s1_id, cand_id FROM store WHERE channel_mask = {1 << CHANNELS.index('E')}")
+def store_exclusive(spark, sf):
+    return blocking.channel_exclusive(_store(spark, sf), "E").select("s1_id", "cand_id")
+
+
+@query(f"WITH {channel_cte(_MIX, SMALL)} SELECT a.ch AS channel_i, b.ch AS channel_j, count(*) AS pairs FROM chans a JOIN chans b ON a.s1_id = b.s1_id AND a.cand_id = b.cand_id GROUP BY 1, 2")
+def store_overlap(spark, sf):
+    return blocking.channel_overlap(_store(spark, sf))
+
+
+@query(f"WITH {_STORED} SELECT count(DISTINCT s1_id) AS entities, count(*) AS pairs FROM store")
+def store_sizes(spark, sf):
+    return blocking.store_sizes(_store(spark, sf))
+
+
+@query(f"WITH {_N}, {_DF} SELECT 'name' AS kind, t AS token, df FROM ndf UNION ALL SELECT 'addr', t, df FROM adf")
+def token_frequencies(spark, sf):
+    _, pool = X.sides(X.e_part(spark, sf))
+    f = lambda c, k: blocking.token_df(pool, c).select(F.lit(k).alias("kind"), "token", "df")
+    return f("name_norm", "name").unionByName(f("addr_norm", "addr"))
+
+
+@query(f"WITH {_N}, g AS (SELECT substr(name_norm, CAST(i AS INTEGER), 3) AS gram FROM (SELECT name_norm, unnest(range(1, length(name_norm) - 1)) AS i FROM pool)) SELECT gram, count(*) AS df FROM g GROUP BY 1")
+def gram_frequencies(spark, sf):
+    return blocking.gram_counts(X.sides(X.e_part(spark, sf))[1])
+
+
+_UNIVERSE = "u AS (SELECT entity_id AS s1_id FROM e WHERE entity_id LIKE 'S1%')"
+
+
+def _entity_sql(pred: str) -> str:
+    """es(s1_id, tp, fp, fn, n_true, n_pred, precision, recall, f05) of a prediction relation."""
+    return f"""{_UNIVERSE}, pr AS (SELECT DISTINCT s1_id, cand_id FROM {pred}), tr AS (SELECT DISTINCT s1_id, cand_id FROM truth),
+c AS (SELECT u.s1_id, (SELECT count(*) FROM pr WHERE pr.s1_id = u.s1_id) AS n_pred, (SELECT count(*) FROM tr WHERE tr.s1_id = u.s1_id) AS n_true,
+      (SELECT count(*) FROM pr JOIN tr ON pr.s1_id = tr.s1_id AND pr.cand_id = tr.cand_id WHERE pr.s1_id = u.s1_id) AS tp FROM u),
+es AS (SELECT s1_id, tp, n_pred - tp AS fp, n_true - tp AS fn, n_true, n_pred,
+       CASE WHEN n_pred = 0 THEN CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END ELSE CAST(tp AS DOUBLE) / n_pred END AS precision,
+       CASE WHEN n_true = 0 THEN CASE WHEN n_pred = 0 THEN 1.0 ELSE 0.0 END ELSE CAST(tp AS DOUBLE) / n_true END AS recall,
+       CASE WHEN n_true = 0 AND n_pred = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE CAST(1.25 AS DOUBLE) * tp / (CAST(1.25 AS DOUBLE) * tp + CAST(0.25 AS DOUBLE) * (n_true - tp) + (n_pred - tp)) END AS f05 FROM c)"""
+
+
+_R = lambda *cols: ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {n}" for c, n in cols)
+
+
+@query(f"WITH {_STORED}, {_CAPPED}, {_TRUTH}, {_entity_sql('capped')} SELECT count(*) AS entities, CAST(sum(n_pred) AS BIGINT) AS pairs, {_R(('sum(tp) / sum(n_true)', 'link_recall'), ('count(*) FILTER (n_true > 0 AND fn = 0) / count(*) FILTER (n_true > 0)', 'complete_coverage'), ('count(*) FILTER (n_true > 0 AND tp > 0) / count(*) FILTER (n_true > 0)', 'partial_coverage'), ('avg(n_pred)', 'mean'), *[(f'quantile_cont(n_pred, {q / 100})', f'p{q}') for q in (50, 90, 95, 99)])}, max(n_pred) AS most, count(*) FILTER (n_pred = 0) AS without, {_R(('count(*) FILTER (n_pred = 0) / count(*)', 'without_rate'))} FROM es")
+def blocking_metrics(spark, sf):
+    return rounded(metrics.blocking_metrics(blocking.cap_candidates(_store(spark, sf), 8), X.part_truth(spark, sf), _universe(spark, sf)))
+
+
+@query(f"WITH {_STORED}, {_TRUTH}, k AS (SELECT CAST(range AS INTEGER) AS channel FROM range({len(CHANNELS)})), g AS (SELECT first_channel AS channel, count(*) AS pairs, count(t.s1_id) AS links FROM store s LEFT JOIN (SELECT DISTINCT s1_id, cand_id FROM truth) t ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id GROUP BY 1) SELECT k.channel, coalesce(pairs, 0) AS pairs, coalesce(links, 0) AS links, CAST(sum(coalesce(links, 0)) OVER (ORDER BY k.channel) AS BIGINT) AS cumulative_links, round(sum(coalesce(links, 0)) OVER (ORDER BY k.channel) / (SELECT count(DISTINCT (s1_id, cand_id)) FROM truth), 6) AS recall FROM k LEFT JOIN g ON k.channel = g.channel")
+def blocking_marginal(spark, sf):
+    return rounded(metrics.marginal_recall(_store(spark, sf), X.part_truth(spark, sf), len(CHANNELS)))
+
+
+@query(f"WITH {_STORED}, {_TRUTH}, k AS (SELECT CAST(range AS INTEGER) AS channel FROM range({len(CHANNELS)})), td AS (SELECT DISTINCT s1_id, cand_id FROM truth) SELECT channel, (SELECT count(*) FROM store s JOIN td AS t ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id WHERE s.channel_mask & ~(CAST(1 AS BIGINT) << channel) <> 0) AS links_without FROM k")
+def blocking_leave_one_out(spark, sf):
+    return metrics.leave_one_out(_store(spark, sf), X.part_truth(spark, sf), len(CHANNELS))
+
+
+@query(f"WITH {_STORED}, {_CAPPED}, {_TRUTH}, {_UNIVERSE}, g AS (SELECT cap, s1_id FROM u, (VALUES (2), (4), (8)) AS v(cap)), td AS (SELECT DISTINCT s1_id, cand_id FROM truth), x AS (SELECT g.cap, g.s1_id, count(c.cand_id) AS pairs, count(t.cand_id) AS tp FROM g LEFT JOIN capped c ON c.s1_id = g.s1_id AND c.rank <= g.cap LEFT JOIN td AS t ON t.s1_id = c.s1_id AND t.cand_id = c.cand_id GROUP BY 1, 2), y AS (SELECT x.*, (SELECT count(*) FROM td AS t WHERE t.s1_id = x.s1_id) AS n FROM x) SELECT CAST(cap AS INTEGER) AS cap, CAST(sum(pairs) AS BIGINT) AS pairs, CAST(sum(tp) AS BIGINT) AS links, round(avg(CASE WHEN n = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE CAST(1.25 AS DOUBLE) * tp / (CAST(1.25 AS DOUBLE) * tp + CAST(0.25 AS DOUBLE) * (n - tp)) END), 6) AS oracle_f05 FROM y GROUP BY 1")
+def blocking_cap_sweep(spark, sf):
+    return rounded(metrics.cap_sweep(blocking.cap_candidates(_store(spark, sf), 8), X.part_truth(spark, sf), _universe(spark, sf), [2, 4, 8]))
+
+
+@query(f"WITH {_STORED}, {_TRUTH}, td AS (SELECT DISTINCT s1_id, cand_id FROM truth), hh AS (SELECT t.*, e.country, s.cand_id IS NOT NULL AS f FROM td AS t JOIN e ON e.entity_id = t.s1_id LEFT JOIN store s ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id) SELECT 'country' AS kind, country AS value, count(*) AS links, count(*) FILTER (f) AS found FROM hh GROUP BY 2 UNION ALL SELECT 'source', substr(cand_id, 1, 2), count(*), count(*) FILTER (f) FROM hh GROUP BY 2")
+def blocking_recall_by_group(spark, sf):
+    return metrics.recall_by(_store(spark, sf), X.part_truth(spark, sf), _s1(spark, sf).select(F.col("entity_id").alias("s1_id"), "country"))
+
+
+# --- features ------------------------------------------------------------------------------------------------------
+
+_PAIRED = f"""{_N}, {_SCORED}, f AS (SELECT s.s1_id, s.cand_id, a.business_name AS xr, b.business_name AS yr, a.name_norm AS xn, b.name_norm AS yn, a.toks AS xt, b.toks AS yt, a.addr_norm AS xa, b.addr_norm AS ya, a.atoks AS xat, b.atoks AS yat,
+  list_distinct(regexp_extract_all(a.addr_norm, '\\b\\d+[a-zA-Z]?\\b')) AS xno, list_distinct(regexp_extract_all(b.addr_norm, '\\b\\d+[a-zA-Z]?\\b')) AS yno, a.country_norm AS xc, b.country_norm AS yc
+  FROM scored s JOIN n a ON a.entity_id = s.s1_id JOIN n b ON b.entity_id = s.cand_id)"""
+_B = lambda c: f"CAST(coalesce({c}, false) AS INTEGER)::DOUBLE"
+_J = lambda a, b: f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0.0::DOUBLE ELSE len(list_intersect({a}, {b}))::DOUBLE / len(list_distinct(list_concat({a}, {b}))) END"
+_G = lambda c, n: f"list_distinct(list_transform(range(1, length({c}) - {n} + 2), lambda i: substr({c}, CAST(i AS INTEGER), {n})))"
+_NAME_COLS = {
+    "name_exact_raw": _B("xr = yr AND xr <> ''"), "name_exact_norm": _B("xn = yn AND xn <> ''"),
+    "name_len_diff_abs": "abs(length(xn) - length(yn))::DOUBLE", "name_len_diff_rel": "abs(length(xn) - length(yn))::DOUBLE / greatest(length(xn), length(yn))", "name_tok_count_diff": "abs(len(xt) - len(yt))::DOUBLE",
+    "name_tok_overlap_count": "len(list_intersect(xt, yt))::DOUBLE", "name_tok_jaccard": _J("list_distinct(xt)", "list_distinct(yt)"),
+    "name_tok_containment": "len(list_intersect(xt, yt))::DOUBLE / least(len(list_distinct(xt)), len(list_distinct(yt)))", "name_first_tok_match": _B("xt[1] = yt[1]"), "name_last_tok_match": _B("xt[-1] = yt[-1]"),
+    "name_is_prefix": _B("starts_with(xn, yn) OR starts_with(yn, xn)"), "name_char_2gram_jaccard": _J(_G("xn", 2), _G("yn", 2)), "name_char_3gram_jaccard": _J(_G("xn", 3), _G("yn", 3)),
+}
+_ADDR_COLS = {
+    "addr_exact_norm": _B("xa = ya AND xa <> ''"), "addr_len_diff_abs": "abs(length(xa) - length(ya))::DOUBLE", "addr_tok_overlap_count": "len(list_intersect(xat, yat))::DOUBLE", "addr_tok_jaccard": _J("list_distinct(xat)", "list_distinct(yat)"),
+    "addr_num_count_s1": "len(xno)::DOUBLE", "addr_num_overlap_count": "len(list_intersect(xno, yno))::DOUBLE", "addr_num_jaccard": _J("xno", "yno"),
+    "addr_num_exact_match": _B("len(xno) > 0 AND list_sort(xno) = list_sort(yno)"), "addr_num_disagreement": _B("len(xno) > 0 AND len(yno) > 0 AND len(list_intersect(xno, yno)) = 0"),
+    "country_exact_match": _B("xc = yc"), "country_s1_missing": _B("xc IN ('', 'unknown')"), "cand_is_s2": _B("cand_id LIKE 'S2%'"), "cand_is_s3": _B("cand_id LIKE 'S3%'"),
+}
+
+
+def _features(spark, sf, columns):
+    a, b = X.sides(X.e_part(spark, sf))
+    return rounded(features.pair_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, with_fuzzy=False).select("s1_id", "cand_id", *columns))
+
+
+@query(f"WITH {_PAIRED} SELECT s1_id, cand_id, {_R(*[(v, k) for k, v in _NAME_COLS.items()])} FROM f")
+def features_name(spark, sf):
+    return _features(spark, sf, _NAME_COLS)
+
+
+@query(f"WITH {_PAIRED} SELECT s1_id, cand_id, {_R(*[(v, k) for k, v in _ADDR_COLS.items()])} FROM f")
+def features_address(spark, sf):
+    return _features(spark, sf, _ADDR_COLS)
+
+
+@query()
+def features_all(spark, sf):
+    """All 56 columns, fuzzy scores included, of capped candidates with their provenance."""
+    a, b = X.sides(X.e_part(spark, sf))
+    return rounded(features.pair_features(blocking.cap_candidates(_store(spark, sf), 8).select("s1_id", "cand_id", "channel_count"), a, b))
+
+
+@query(f"WITH {_N}, {_DF}, {_SCORED}, x AS (SELECT DISTINCT s1_id, cand_id, t FROM (SELECT s.s1_id, s.cand_id, unnest(a.toks) AS t FROM scored s JOIN n a ON a.entity_id = s.s1_id)), y AS (SELECT DISTINCT s1_id, cand_id, t FROM (SELECT s.s1_id, s.cand_id, unnest(b.toks) AS t FROM scored s JOIN n b ON b.entity_id = s.cand_id)), z AS (SELECT coalesce(x.s1_id, y.s1_id) AS s1_id, coalesce(x.cand_id, y.cand_id) AS cand_id, x.t IS NOT NULL AS i, y.t IS NOT NULL AS j, coalesce(d.df, 1) AS df FROM x FULL JOIN y ON x.s1_id = y.s1_id AND x.cand_id = y.cand_id AND x.t = y.t LEFT JOIN ndf d ON d.t = coalesce(x.t, y.t)), w AS (SELECT *, greatest(0.1::DOUBLE, ln(1334.0::DOUBLE) - ln(df)) AS idf FROM z) SELECT s1_id, cand_id, {_R(('coalesce(sum(idf) FILTER (i AND j), 0) / sum(idf)', 'idf_jaccard'), ('coalesce(max(idf) FILTER (i AND j), 0)', 'idf_shared_max'), ('coalesce(min(idf) FILTER (i AND j), 0)', 'idf_shared_min'), ('coalesce(avg(idf) FILTER (i AND j), 0)', 'idf_shared_mean'), ('coalesce(max(df) FILTER (i), 0)', 's1_max_df'))}, count(*) FILTER (i AND j AND df <= 500) AS idf_shared_rare FROM w GROUP BY 1, 2")
+def features_idf(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    f = features.idf_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, blocking.token_df(b, "name_norm"), 1334)
+    return rounded(f.drop("s1_all_common"))
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_SCORED} SELECT s.s1_id, s.cand_id, CAST(t.s1_id IS NOT NULL AS INTEGER) AS label FROM scored s LEFT JOIN (SELECT DISTINCT s1_id, cand_id FROM truth) t ON t.s1_id = s.s1_id AND t.cand_id = s.cand_id")
+def label_pairs(spark, sf):
+    return features.label(X.part_scored(spark, sf).select("s1_id", "cand_id"), X.part_truth(spark, sf))
+
+
+_CONTEXT_SQL = """q AS (SELECT s1_id, cand_id, CAST(CAST(p AS FLOAT) AS DOUBLE) AS p FROM scored),
+w AS (SELECT *, count(*) OVER s AS n, rank() OVER sd AS r, avg(p) OVER s AS m, stddev_samp(p) OVER s AS sd_, nth_value(p, 2) OVER sw AS s2, count(*) OVER c AS nc, rank() OVER cd AS rc, max(p) OVER c AS top, nth_value(p, 2) OVER cw AS c2 FROM q
+  WINDOW s AS (PARTITION BY s1_id), c AS (PARTITION BY cand_id), sd AS (PARTITION BY s1_id ORDER BY p DESC), cd AS (PARTITION BY cand_id ORDER BY p DESC),
+  sw AS (PARTITION BY s1_id ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), cw AS (PARTITION BY cand_id ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+v AS (SELECT *, CASE WHEN nc = 1 THEN 0.0 WHEN p = top THEN c2 ELSE top END AS comp FROM w)"""
+
+
+@query(f"WITH {_SCORED}, {_CONTEXT_SQL} SELECT s1_id, cand_id, n AS candidate_count_for_s1, CAST(r AS INTEGER) AS score_rank_within_s1, nc AS n_s1_claimants, CAST(rc AS INTEGER) AS reverse_rank_of_cand, CAST(r = 1 AND rc = 1 AS INTEGER) AS is_mutual_best_match, {_R(('CASE WHEN n = 1 THEN 1.0 ELSE (n - r) / (n - 1 + 1e-9) END', 'score_percentile_within_s1'), ('CASE WHEN n = 1 THEN p ELSE p - s2 END', 'score_margin_to_second'), ('CASE WHEN coalesce(sd_, 0) <= 1e-6 THEN 0.0 ELSE (p - m) / sd_ END', 'score_z_within_s1'), ('comp', 'max_competing_score'), ('p - comp', 'score_lead_over_competitor'), ('p', 'stage1_p1'))} FROM v")
+def context_windows(spark, sf):
+    f = context.context_features(X.part_scored(spark, sf))
+    return rounded(f.drop("cand_in_near_dup_cluster", "cluster_size", "cluster_s1_claimant_count", "cluster_max_score_for_s1", "cluster_mean_score_for_s1"))
+
+
+@query(f"WITH {_SCORED}, q AS (SELECT s1_id, cand_id, CAST(CAST(p AS FLOAT) AS DOUBLE) AS p, substr(cand_id, 11, 2) AS k FROM scored) SELECT s1_id, cand_id, 1 AS cand_in_near_dup_cluster, (SELECT count(DISTINCT cand_id) FROM q b WHERE b.k = q.k) AS cluster_size, (SELECT count(DISTINCT s1_id) FROM q b WHERE b.k = q.k) AS cluster_s1_claimant_count, {_R(('max(p) OVER (PARTITION BY s1_id, k)', 'cluster_max_score_for_s1'), ('avg(p) OVER (PARTITION BY s1_id, k)', 'cluster_mean_score_for_s1'))} FROM q")
+def context_clusters(spark, sf):
+    s = X.part_scored(spark, sf)
+    f = context.context_features(s, s.select("cand_id", F.substring("cand_id", 11, 2).alias("cluster_id")).distinct())
+    return rounded(f.select("s1_id", "cand_id", "cand_in_near_dup_cluster", "cluster_size", "cluster_s1_claimant_count", "cluster_max_score_for_s1", "cluster_mean_score_for_s1"))
+
+
+# --- decisions -----------------------------------------------------------------------------------------------------
+
+@query(f"WITH {_SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY s1_id, substr(cand_id, 1, 2) ORDER BY p DESC, cand_id) AS k FROM scored) SELECT s1_id, cand_id, p FROM r WHERE k <= 2")
+def top_per_source(spark, sf):
+    return decide.top_per_source(X.part_scored(spark, sf), 2)
+
+
+@query(f"WITH {_SCORED} SELECT s1_id, cand_id, p, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id) AS INTEGER) AS rank FROM scored WHERE p >= 0.05 QUALIFY rank <= 3")
+def decide_shortlist(spark, sf):
+    return decide.shortlist(X.part_scored(spark, sf), 0.05, 3)
+
+
+_FLAGS = "g AS (SELECT s.*, CAST(substr(cand_id, 4) AS INTEGER) % 5 = 0 AS ea, CAST(substr(cand_id, 4) AS INTEGER) % 7 = 0 AS nd, CAST(substr(s1_id, 4) AS INTEGER) % 11 = 0 AS cd FROM scored s)"
+
+
+def _flagged(spark, sf):
+    k = lambda c: F.substring(c, 4, 9).cast("int")
+    return X.part_scored(spark, sf).withColumns({"has_empty_addr": k("cand_id") % 5 == 0, "has_numeric_disagreement": k("cand_id") % 7 == 0, "has_country_disagreement": k("s1_id") % 11 == 0})
+
+
+@query(f"WITH {_SCORED}, {_FLAGS} SELECT s1_id, cand_id, p FROM g WHERE p >= CASE WHEN ea THEN 0.85 ELSE 0.60 END AND NOT nd AND NOT cd QUALIFY row_number() OVER (PARTITION BY s1_id, substr(cand_id, 1, 2) ORDER BY p DESC, cand_id) <= 1")
+def decide_rules(spark, sf):
+    return decide.filter_and_assign(_flagged(spark, sf))
+
+
+@query()
+def decide_rules_unique(spark, sf):
+    return decide.filter_and_assign(_flagged(spark, sf), decide.Rules(unique=True))
+
+
+@query(f"WITH RECURSIVE {_SCORED}, o AS (SELECT s1_id, p, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id) AS k FROM scored QUALIFY k <= 6), s(s1_id, k, pmf) AS (SELECT DISTINCT s1_id, CAST(0 AS BIGINT), [1.0::DOUBLE] FROM o UNION ALL SELECT s.s1_id, o.k, list_transform(range(0, CAST(o.k + 1 AS INTEGER)), lambda i: coalesce(s.pmf[CAST(i + 1 AS INTEGER)], 0.0) * (1 - o.p) + CASE WHEN i = 0 THEN 0.0 ELSE s.pmf[CAST(i AS INTEGER)] * o.p END) FROM s JOIN o ON o.s1_id = s.s1_id AND o.k = s.k + 1), l AS (SELECT * FROM s QUALIFY k = max(k) OVER (PARTITION BY s1_id)) SELECT s1_id, CAST(unnest(range(0, len(pmf))) AS INTEGER) AS hits, round(unnest(pmf), 6) AS mass FROM l")
+def decide_pmf(spark, sf):
+    short = decide.shortlist(X.part_scored(spark, sf), 0.0, 6).groupBy("s1_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "p"))), lambda x: x["p"]).alias("p"))
+    return short.select("s1_id", F.posexplode(decide.pmf_column(F.col("p"))).alias("hits", "mass")).withColumn("mass", F.round("mass", 6))
+
+
+@query()
+def decide_expected_f05(spark, sf):
+    return decide.select_matches(X.part_scored(spark, sf))
+
+
+@query(f"WITH {_SCORED}, c AS (SELECT * FROM scored WHERE p >= 0.6), w AS (SELECT *, count(*) OVER (PARTITION BY cand_id) AS claimants, row_number() OVER (PARTITION BY cand_id ORDER BY p DESC, s1_id) AS k, max(p) OVER (PARTITION BY cand_id) AS top, nth_value(p, 2) OVER (PARTITION BY cand_id ORDER BY p DESC, s1_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second FROM c) SELECT s1_id, cand_id, p, claimants, CASE WHEN claimants = 1 THEN 'kept' WHEN top - second < 0.05 - 1e-9 THEN 'ambiguous' WHEN k = 1 THEN 'kept' ELSE 'lost' END AS status FROM w")
+def decide_conflicts(spark, sf):
+    return decide.conflicts(X.part_scored(spark, sf).where("p >= 0.6"))
+
+
+@query()
+def decide_all(spark, sf):
+    return decide.decide(X.part_scored(spark, sf))
+
+
+@query(f"WITH RECURSIVE {_SCORED}, ed AS (SELECT s1_id AS a, cand_id AS b FROM scored WHERE p >= 0.9 UNION SELECT cand_id, s1_id FROM scored WHERE p >= 0.9), r(node, c) AS (SELECT a, a FROM ed UNION SELECT ed.b, r.c FROM r JOIN ed ON ed.a = r.node) SELECT node, min(c) AS cluster FROM r GROUP BY 1")
+def graph_clusters(spark, sf):
+    return graph.clusters(X.part_scored(spark, sf).where("p >= 0.9").select(F.col("s1_id").alias("a"), F.col("cand_id").alias("b")))
+
+
+# --- evaluation ----------------------------------------------------------------------------------------------------
+
+_PRED = "pred AS (SELECT s1_id, cand_id FROM scored WHERE p >= 0.7)"
+_EVAL = f"{_N}, {_TRUTH}, {_SCORED}, {_PRED}, {_entity_sql('pred')}"
+
+
+def _scores(spark, sf):
+    return metrics.entity_scores(X.part_scored(spark, sf).where("p >= 0.7"), X.part_truth(spark, sf), _universe(spark, sf))
+
+
+@query(f"WITH {_EVAL} SELECT s1_id, tp, fp, fn, n_true, n_pred, {_R(('precision', 'precision'), ('recall', 'recall'), ('f05', 'f05'))} FROM es")
+def eval_entities(spark, sf):
+    return rounded(_scores(spark, sf))
+
+
+@query(f"WITH {_EVAL} SELECT count(*) AS entities, {_R(('avg(f05)', 'macro_f05'), ('avg(precision)', 'macro_precision'), ('avg(recall)', 'macro_recall'))}, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(fp) AS BIGINT) AS fp, CAST(sum(fn) AS BIGINT) AS fn, count(*) FILTER (n_true = 0) AS singletons, {_R(('count(*) FILTER (n_true = 0 AND n_pred = 0) / count(*) FILTER (n_true = 0)', 'singleton_accuracy'), ('count(*) FILTER (n_true = 0 AND n_pred > 0) / count(*) FILTER (n_true = 0)', 'false_merge_rate'))}, count(*) FILTER (f05 = 1) AS perfect, {_R(('stddev_pop(f05)', 'std_f05'), ('quantile_cont(f05, 0.1)', 'p10_f05'), ('quantile_cont(f05, 0.25)', 'p25_f05'), ('quantile_cont(f05, 0.5)', 'p50_f05'))} FROM es")
+def eval_macro(spark, sf):
+    return rounded(metrics.macro(_scores(spark, sf)))
+
+
+_AVGS = _R(("avg(f05)", "macro_f05"), ("avg(precision)", "macro_precision"), ("avg(recall)", "macro_recall"))
+
+
+@query(f"WITH {_EVAL}, z AS (SELECT es.*, CASE WHEN n_true = 0 THEN '0' WHEN n_true = 1 THEN '1' WHEN n_true <= 5 THEN '2-5' ELSE '6+' END AS card FROM es) SELECT 'all' AS kind, 'all' AS value, count(*) AS entities, {_AVGS} FROM z UNION ALL SELECT 'cardinality', card, count(*), {_AVGS} FROM z GROUP BY card UNION ALL SELECT 'country', 'OTHER', count(*), {_AVGS} FROM z")
+def eval_subgroups(spark, sf):
+    return rounded(metrics.evaluate(_scores(spark, sf), _s1(spark, sf).select(F.col("entity_id").alias("s1_id"), "country")))
+
+
+@query(f"WITH {_N}, {_TRUTH}, o AS (SELECT cand_id, count(DISTINCT s1_id) AS k FROM truth GROUP BY 1) SELECT substr(cand_id, 1, 2) AS source, count(*) AS ids, count(*) FILTER (k > 1) AS violations, max(k) AS most_owners, {_R(('count(*) FILTER (k > 1) / count(*)', 'rate'))}, count(*) FILTER (k > 1) = 0 AS holds FROM o GROUP BY 1")
+def h1_gate(spark, sf):
+    return rounded(metrics.h1_gate(X.part_truth(spark, sf)))
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_SCORED}, {_UNIVERSE}, g AS (SELECT t AS threshold, c AS cap, s1_id FROM u, (VALUES (0.5), (0.7), (0.9)) AS v(t), (VALUES (1), (2)) AS w(c)), k AS (SELECT *, row_number() OVER (PARTITION BY s1_id, substr(cand_id, 1, 2) ORDER BY p DESC, cand_id) AS place FROM scored), tr AS (SELECT DISTINCT s1_id, cand_id FROM truth), x AS (SELECT g.threshold, g.cap, g.s1_id, count(k.cand_id) AS np, count(tr.cand_id) AS tp FROM g LEFT JOIN k ON k.s1_id = g.s1_id AND k.p >= g.threshold AND k.place <= g.cap LEFT JOIN tr ON tr.s1_id = k.s1_id AND tr.cand_id = k.cand_id GROUP BY 1, 2, 3), y AS (SELECT x.*, (SELECT count(*) FROM tr WHERE tr.s1_id = x.s1_id) AS nt FROM x) SELECT CAST(threshold AS DOUBLE) AS threshold, CAST(cap AS INTEGER) AS cap, round(avg(CASE WHEN nt = 0 AND np = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE CAST(1.25 AS DOUBLE) * tp / (CAST(1.25 AS DOUBLE) * tp + CAST(0.25 AS DOUBLE) * (nt - tp) + (np - tp)) END), 6) AS macro_f05 FROM y GROUP BY 1, 2")
+def threshold_sweep(spark, sf):
+    return rounded(metrics.threshold_sweep(X.part_scored(spark, sf), X.part_truth(spark, sf), _universe(spark, sf), [0.5, 0.7, 0.9], [1, 2]))
+
+
+@query(f"WITH {_LABELS}, b AS (SELECT least(CAST(floor(p * 10) AS INTEGER), 9) AS b, count(*) AS n, avg(p) AS p, avg(y) AS y FROM ls GROUP BY 1) SELECT round(sum(n * abs(p - y)) / sum(n), 6) AS ece FROM b")
+def calibration_ece(spark, sf):
+    return rounded(metrics.ece(X.label_scores(spark, sf)))
+
+
+@query(f"WITH {_LABELS} SELECT CAST(floor(p * 10) AS INTEGER) AS bin, count(*) AS n, {_R(('avg(p)', 'mean_p'), ('avg(y)', 'share'))}, abs(avg(p) - avg(y)) > 0.10 AS off FROM ls WHERE p < 1 GROUP BY 1")
+def calibration_reliability(spark, sf):
+    return rounded(metrics.reliability(X.label_scores(spark, sf)))
+
+
+@query(f"WITH {_LABELS}, c AS (SELECT *, least(greatest(p, 1e-15), 1 - 1e-15) AS q FROM ls) SELECT {_R(('avg(pow(p - y, 2))', 'brier'), ('-avg(y * ln(q) + (1 - y) * ln(1 - q))', 'log_loss'))} FROM c")
+def calibration_losses(spark, sf):
+    return rounded(metrics.losses(X.label_scores(spark, sf)))
+
+
+@query(f"WITH {_LABELS}, g AS (SELECT p, CAST(sum(y) AS DOUBLE) AS pos, count(*) AS n FROM ls GROUP BY 1), w AS (SELECT *, sum(pos) OVER (ORDER BY p DESC) AS tp, sum(n) OVER (ORDER BY p DESC) AS seen FROM g) SELECT {_R(('(SELECT avg(CASE WHEN a.p > b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0.0 END) FROM ls a, ls b WHERE a.y = 1 AND b.y = 0)', 'roc_auc'), ('sum(pos * tp / seen) / sum(pos)', 'average_precision'))} FROM w")
+def calibration_ranking(spark, sf):
+    return rounded(metrics.ranking(X.label_scores(spark, sf)))
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_SCORED}, {_PRED}, cand AS (SELECT s1_id, cand_id FROM scored), w AS (SELECT s1_id, cand_id, 'fp' AS kind FROM pred WHERE (s1_id, cand_id) NOT IN (SELECT (s1_id, cand_id) FROM truth) UNION ALL SELECT DISTINCT s1_id, cand_id, 'fn' FROM truth WHERE (s1_id, cand_id) NOT IN (SELECT (s1_id, cand_id) FROM pred)), s AS (SELECT name_norm, count(*) AS k FROM pool GROUP BY 1), x AS (SELECT w.*, a.name_norm AS an, b.name_norm AS bn, a.addr_norm AS aa, b.addr_norm AS ba, regexp_extract_all(a.addr_norm, '\\b\\d+[a-zA-Z]?\\b') AS ax, regexp_extract_all(b.addr_norm, '\\b\\d+[a-zA-Z]?\\b') AS bx, s.k, (w.s1_id, w.cand_id) IN (SELECT (s1_id, cand_id) FROM cand) AS seen FROM w JOIN n a ON a.entity_id = w.s1_id JOIN n b ON b.entity_id = w.cand_id LEFT JOIN s ON s.name_norm = b.name_norm) SELECT s1_id, cand_id, kind, CASE WHEN kind = 'fp' THEN CASE WHEN an = bn AND len(ax) > 0 AND len(bx) > 0 AND len(list_intersect(ax, bx)) = 0 THEN 'franchise' WHEN an = bn AND k >= 3 THEN 'common_name' WHEN aa = ba AND aa <> '' THEN 'address_collision' ELSE 'other' END ELSE CASE WHEN NOT seen THEN 'blocking' WHEN aa = '' OR ba = '' THEN 'missing_address' WHEN length(an) <= 4 OR length(bn) <= 4 THEN 'short_name' WHEN len(list_intersect(string_split(an, ' '), string_split(bn, ' '))) = 0 THEN 'dba' ELSE 'other' END END AS category FROM x")
+def error_taxonomy(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    s = X.part_scored(spark, sf)
+    return metrics.errors(s.where("p >= 0.7"), X.part_truth(spark, sf), s, a, b)
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_SCORED} SELECT CASE WHEN s.p IS NULL THEN 'not_retrieved' WHEN s.p >= 0.9 THEN 'correct' WHEN s.p < 0.5 THEN 'low_score' WHEN s.p < 0.7 THEN 'rejected' ELSE 'lost_to_conflict' END AS stage, count(*) AS links FROM (SELECT DISTINCT s1_id, cand_id FROM truth) t LEFT JOIN scored s ON s.s1_id = t.s1_id AND s.cand_id = t.cand_id GROUP BY 1")
+def score_loss(spark, sf):
+    s = X.part_scored(spark, sf)
+    return metrics.score_loss(X.part_truth(spark, sf), s, s, s.where("p >= 0.7"), s.where("p >= 0.9"))
+
+
+@query(f"WITH {_PAIRED}, {_TRUTH}, l AS (SELECT f.*, EXISTS (SELECT 1 FROM truth t WHERE t.s1_id = f.s1_id AND t.cand_id = f.cand_id) AS y FROM f) SELECT count(*) FILTER (NOT y) AS negatives, count(*) FILTER (NOT y AND xn = yn) AS same_name, count(*) FILTER (NOT y AND xa = ya) AS same_address, count(*) FILTER (NOT y AND {_NAME_COLS['name_tok_jaccard']} >= 0.5) AS similar_name, count(*) FILTER (NOT y AND len(list_intersect(xno, yno)) = 0) AS other_number FROM l")
+def hard_negatives(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    f = features.pair_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, with_fuzzy=False)
+    return metrics.hard_negatives(features.label(f, X.part_truth(spark, sf)))
+
+
+_AUDIT = ["name_tok_jaccard", "name_len_diff_abs", "addr_tok_jaccard", "country_exact_match"]
+
+
+@query("WITH " + _PAIRED + " " + " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(0 AS BIGINT) AS nans, {_R((f'min({v})', 'least'), (f'max({v})', 'most'), (f'avg({v})', 'mean'), (f'stddev_pop({v})', 'std'))}, count(DISTINCT {v}) AS distinct_values, count(DISTINCT {v}) <= 1 AS constant FROM f" for c, v in ((c, (_NAME_COLS | _ADDR_COLS)[c]) for c in _AUDIT)))
+def feature_audit(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    return rounded(metrics.feature_audit(features.pair_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, with_fuzzy=False), _AUDIT))
+
+
+@query()
+def feature_correlations(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    f = features.pair_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, with_fuzzy=False)
+    return rounded(metrics.correlated(f, list(features.string_features())[:14]))
+
+
+# --- profiles, splits, contracts, files ----------------------------------------------------------------------------
+
+_LEN = "length(business_name)"
+
+
+@query(f"WITH {_E_DOCS} SELECT substr(entity_id, 1, 2) AS source, count(*) AS n_rows, count(DISTINCT entity_id) AS ids, count(*) - count(DISTINCT entity_id) AS repeated_ids, {', '.join(f'count(*) FILTER (trim({c}) = {chr(39)}{chr(39)}) AS empty_{c}' for c in ('business_name', 'business_address', 'country'))}, count(*) - count(DISTINCT business_name) AS repeated_names, count(*) - count(DISTINCT business_address) AS repeated_addresses, count(DISTINCT country) AS countries, {_R((f'avg({_LEN})', 'mean'), (f'stddev_pop({_LEN})', 'std'), (f'min({_LEN})', 'least'), *[(f'quantile_cont({_LEN}, {q})', k) for q, k in ((0.25, 'p25'), (0.5, 'median'), (0.75, 'p75'), (0.95, 'p95'))], (f'max({_LEN})', 'most'))} FROM e GROUP BY 1")
+def profile_entities(spark, sf):
+    return rounded(profile.entity_profile(X.e_docs(spark, sf)))
+
+
+@query(f"WITH {_E_DOCS} SELECT country AS value, count(*) AS n FROM e GROUP BY 1")
+def profile_histogram(spark, sf):
+    return profile.histogram(X.e_docs(spark, sf), "country")
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_UNIVERSE}, g AS (SELECT u.s1_id, count(DISTINCT cand_id) AS n, count(*) FILTER (cand_id LIKE 'S2%') AS s2, count(*) FILTER (cand_id LIKE 'S3%') AS s3 FROM u LEFT JOIN truth t ON t.s1_id = u.s1_id GROUP BY 1) SELECT count(*) AS entities, count(*) FILTER (n = 0) AS singletons, count(*) FILTER (n = 1) AS ones, count(*) FILTER (n > 1) AS many, count(*) FILTER (s2 > 0 AND s3 = 0) AS s2_only, count(*) FILTER (s3 > 0 AND s2 = 0) AS s3_only, count(*) FILTER (s2 > 0 AND s3 > 0) AS both, {_R(('avg(n)', 'mean_links'))}, max(n) AS most_links, (SELECT count(DISTINCT cand_id) FROM truth) AS matched_ids FROM g")
+def profile_truth(spark, sf):
+    return rounded(profile.truth_profile(X.part_truth(spark, sf), _universe(spark, sf)))
+
+
+@query(f"WITH {_N}, g AS (SELECT business_name, string_agg(DISTINCT substr(entity_id, 1, 2), '+' ORDER BY substr(entity_id, 1, 2)) AS sources FROM e GROUP BY 1) SELECT sources, count(*) AS names FROM g GROUP BY 1")
+def profile_name_overlaps(spark, sf):
+    return profile.name_overlaps(X.e_part(spark, sf))
+
+
+@query(f"WITH {_N} SELECT count(DISTINCT business_name) AS raw_names, count(DISTINCT name_norm) AS norm_names, 0.0::DOUBLE AS degenerate_rate FROM n")
+def profile_collisions(spark, sf):
+    return rounded(profile.collisions(N.normalize(X.e_part(spark, sf))))
+
+
+@query(f"WITH {_N}, {_SCORED}, {_PRED}, {_UNIVERSE}, g AS (SELECT u.s1_id, count(cand_id) AS n, count(*) FILTER (cand_id LIKE 'S2%') AS s2, count(*) FILTER (cand_id LIKE 'S3%') AS s3 FROM u LEFT JOIN pred t ON t.s1_id = u.s1_id GROUP BY 1) SELECT count(*) FILTER (n = 0) AS zero, count(*) FILTER (n = 1) AS one, count(*) FILTER (n BETWEEN 2 AND 5) AS two_to_five, count(*) FILTER (n > 5) AS six_up, count(*) FILTER (s2 > 0 AND s3 = 0) AS s2_only, count(*) FILTER (s3 > 0 AND s2 = 0) AS s3_only, count(*) FILTER (s2 > 0 AND s3 > 0) AS both, max(n) AS most, {_R(('avg(n)', 'mean'), ('quantile_cont(n, 0.5)', 'median'))} FROM g")
+def profile_submission(spark, sf):
+    return rounded(profile.submission_stats(X.part_scored(spark, sf).where("p >= 0.7"), _universe(spark, sf)))
+
+
+_RATIOS = {"train": 0.6, "val_a": 0.15, "val_b": 0.15, "test": 0.1}
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_STRATA}, r AS (SELECT *, row_number() OVER (PARTITION BY country_group, cardinality, pattern ORDER BY md5('42|' || s1_id), s1_id) AS place, count(*) OVER (PARTITION BY country_group, cardinality, pattern) AS k FROM st) SELECT s1_id, country_group, cardinality, pattern, CASE WHEN place <= round_even(k * 0.6::DOUBLE, 0) THEN 'train' WHEN place <= round_even(k * (0.6::DOUBLE + 0.15::DOUBLE), 0) THEN 'val_a' WHEN place <= round_even(k * (0.6::DOUBLE + 0.15::DOUBLE + 0.15::DOUBLE), 0) THEN 'val_b' ELSE 'test' END AS partition FROM r")
+def split_stratified(spark, sf):
+    return split.stratified(_s1(spark, sf), X.part_truth(spark, sf), _RATIOS)
+
+
+@query(f"WITH {_N}, {_UNIVERSE}, r AS (SELECT s1_id, row_number() OVER (ORDER BY md5('42|' || s1_id), s1_id) AS place, count(*) OVER () AS k FROM u) SELECT s1_id, CASE WHEN place <= floor(k * 0.7::DOUBLE) THEN 'train' ELSE 'test' END AS partition FROM r")
+def split_simple(spark, sf):
+    return split.simple(_universe(spark, sf), {"train": 0.7, "test": 0.3})
+
+
+@query()
+def split_stats(spark, sf):
+    return rounded(split.partition_stats(split_stratified(spark, sf), _RATIOS))
+
+
+@query(f"WITH {_E_DOCS}, s AS (SELECT * FROM e WHERE entity_id LIKE 'S1%' OR entity_id LIKE 'S2%') SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS blank_ids, count(*) - count(DISTINCT entity_id) AS repeated_ids, count(*) FILTER (entity_id NOT LIKE 'S1-%') AS wrong_prefix, count(*) FILTER (trim(business_name) = '') AS blank_names, count(*) FILTER (trim(business_address) = '') AS blank_addresses, count(*) FILTER (trim(country) = '') AS blank_countries FROM s")
+def contract_entities(spark, sf):
+    return validate.entity_report(X.e_docs(spark, sf).where("entity_id NOT LIKE 'S3%'"), "S1")
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_UNIVERSE} SELECT (SELECT count(*) FROM u) AS n_rows, CAST(0 AS BIGINT) AS blank_s1, CAST(0 AS BIGINT) AS repeated_s1, CAST(0 AS BIGINT) AS wrong_s1_prefix, CAST(0 AS BIGINT) AS repeated_matches, count(DISTINCT (s1_id, cand_id)) AS links, CAST(0 AS BIGINT) AS wrong_match_prefix, (SELECT count(DISTINCT cand_id) FROM truth WHERE cand_id NOT LIKE 'S2%') AS unknown_matches FROM truth")
+def contract_truth(spark, sf):
+    return validate.truth_report(io.widen(_universe(spark, sf), X.part_truth(spark, sf)), None, X.e_part(spark, sf).where("entity_id LIKE 'S2%'"))
+
+
+@query(f"WITH {_N}, {_SCORED}, {_PRED} SELECT * FROM (SELECT 'one_owner' AS invariant, (SELECT count(*) FROM (SELECT cand_id FROM pred GROUP BY 1 HAVING count(DISTINCT s1_id) > 1)) AS violations UNION ALL SELECT 'matches_within_candidates', (SELECT count(*) FROM pred WHERE (s1_id, cand_id) NOT IN (SELECT (s1_id, cand_id) FROM scored WHERE p >= 0.8)) UNION ALL SELECT unnest(['known_entities', 'every_entity_written', 'no_other_entity_written', 'unique_rows', 'unique_matches', 'prefixes']), 0)")
+def contract_output(spark, sf):
+    s = X.part_scored(spark, sf)
+    return validate.output_report(s.where("p >= 0.7"), s.where("p >= 0.8"), _universe(spark, sf))
+
+
+@query(f"WITH {_N}, {_SCORED}, {_PRED}, {_UNIVERSE} SELECT u.s1_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids FROM u LEFT JOIN pred p ON p.s1_id = u.s1_id GROUP BY 1")
+def sink_matches(spark, sf):
+    return io.widen(_universe(spark, sf), X.part_scored(spark, sf).where("p >= 0.7"))
+
+
+@query(f"WITH {_N}, {_SCORED}, {_UNIVERSE} SELECT u.s1_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY -p, cand_id), '') AS candidate_entity_ids FROM u LEFT JOIN scored p ON p.s1_id = u.s1_id GROUP BY 1")
+def sink_ranked_candidates(spark, sf):
+    return io.widen(_universe(spark, sf), X.part_scored(spark, sf).withColumn("o", -F.col("p")), "candidate_entity_ids", "o")
+
+
+@query(f"WITH {_N}, {_SCORED}, {_TRUTH} SELECT s1_id, cand_id FROM scored WHERE p >= 0.9 UNION SELECT s1_id, cand_id FROM truth")
+def sink_forced_superset(spark, sf):
+    return io.with_matches(X.part_scored(spark, sf).where("p >= 0.9"), X.part_truth(spark, sf))
+
+
+@query(f"WITH {_SCORED} SELECT s1_id, cand_id, p FROM scored")
+def round_trip_scored(spark, sf):
+    from linkwright.operators.graph import cut  # noqa: F401
+    import uuid
+
+    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints"
+    path = f"{where.rstrip('/')}/scored-{uuid.uuid4().hex}"
+    io.write_scored(X.part_scored(spark, sf), path)
+    return io.read_scored(spark, path)
+
+
+@query(f"WITH {_E_CUST} SELECT DISTINCT lower(trim(country)) AS country FROM e WHERE lower(trim(country)) NOT IN ('us', 'usa', 'united states', 'united states of america', 'india', 'ind', 'in', 'bharat', 'france', 'fr', 'fra')")
+def vocabulary_countries(spark, sf):
+    return mine_countries([X.e_cust(spark, sf)])
+
+
+@query()
+def fuzzy_scores(spark, sf):
+    s = X.part_scored(spark, sf).where("p >= 0.9")
+    n = N.normalize(X.e_part(spark, sf)).select("entity_id", "name_norm", "addr_norm")
+    f = s.join(n.toDF("s1_id", "n1", "a1"), "s1_id").join(n.toDF("cand_id", "n2", "a2"), "cand_id").select("s1_id", "cand_id", fuzzy.scores("n1", "n2", "a1", "a2").alias("z"))
+    return rounded(f.select("s1_id", "cand_id", "z.*"))
+
+
+# --- end to end ----------------------------------------------------------------------------------------------------
+
+@query()
+def candidates_capped(spark, sf):
+    a, b = X.sides(X.e_docs(spark, sf))
+    return candidates(a, b).select("s1_id", "cand_id", "channel_mask", F.col("channel_count").cast("int").alias("channel_count"), "rank")
+
+
+@query()
+def resolve_documents(spark, sf):
+    e = X.e_docs(spark, sf)
+    return resolve(e.where("entity_id LIKE 'S1%'"), e.where("entity_id NOT LIKE 'S1%'"))
+
+
+@query(f"WITH {_N}, {_UNIVERSE}, m AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM s1 a JOIN pool b ON a.name_norm = b.name_norm AND a.country_norm = b.country_norm) SELECT u.s1_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids FROM u LEFT JOIN m ON m.s1_id = u.s1_id GROUP BY 1")
+def resolve_exact(spark, sf):
+    """The deterministic resolver: normalized name and country, every entity listed."""
+    return flagship(spark, sf)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    a, b = X.sides(X.e_part(spark, sf_dir))
+    return io.widen(a.select(F.col("entity_id").alias("s1_id")), baselines.exact_match(a, b, baselines.NAME_COUNTRY))
