@@ -191,3 +191,15 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS (SELECT vec_id, x, sqrt(list_sum(list_transform(x, lambda c: c * c))) AS n FROM v),
+g AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND a.n > 0 AND b.n > 0 AND list_inner_product(a.x, b.x) / (a.n * b.n) >= 0.9),
+r(node, c) AS (SELECT a, a FROM g UNION SELECT g.b, r.c FROM r JOIN g ON g.a = r.node),
+m AS (SELECT node, min(c) AS c FROM r GROUP BY 1),
+k AS (SELECT a, count(*) AS n FROM g GROUP BY 1)
+SELECT u.vec_id, coalesce(k.n, 0) AS n_links, coalesce(m.c, u.vec_id) AS component_id, coalesce(m.c, u.vec_id) = u.vec_id AS kept
+FROM u LEFT JOIN k ON k.a = u.vec_id LEFT JOIN m ON m.node = u.vec_id
+"""

@@ -453,3 +453,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+#: Feasible on small tables only: every pair of documents that share a shingle is counted.
+ORACLE = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, CAST(len(w) - 2 AS BIGINT)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) END) AS s FROM w),
+e AS (SELECT doc_id, hash(unnest(s)) AS t, len(s) AS n FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n + b.n) AS n, count(*) AS k FROM e a JOIN e b ON a.t = b.t AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE 100 * k >= 85 * (n - k)),
+g AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(node, c) AS (SELECT a, a FROM g UNION SELECT g.b, r.c FROM r JOIN g ON g.a = r.node),
+m AS (SELECT node, min(c) AS c FROM r GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(m.c, s.doc_id) AS component_id FROM s LEFT JOIN m ON m.node = s.doc_id
+"""

@@ -16,4 +16,9 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
 }
-ORACLE_SQL = {"op4_warc": warc.ORACLE, "op7_line_dedup": line_dedup.ORACLE}
+ORACLE_SQL = {
+    "op2_embedding_near_dedup": caps.ORACLE,
+    "op4_warc": warc.ORACLE,
+    "op7_line_dedup": line_dedup.ORACLE,
+    "op8_ngram_jaccard_join": jaccard.ORACLE,
+}

@@ -25,13 +25,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as Parquet to the shared folder and read it again. A lost executor loses nothing of it."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.materialized_at = path
+    return out
 
 
 def forget(df: DataFrame) -> None:
-    """Delete the files behind a materialized table that no later plan reads."""
+    """Delete the files of a table from materialize() that no later plan reads."""
     spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if file.startswith(shared_dir(spark).replace("file:///", "file:/").replace("file:/", "file:///")) or file.startswith(shared_dir(spark)):
-            path = spark._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
