@@ -169,10 +169,12 @@ def train(background: list[str], *, copies: int = 40, steps: int = 300, seed: in
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 400) -> Scanner:
-    """A scanner whose background is a bounded sample of docs: the `sample` rows with the smallest hash of text, and of
+    """A scanner whose background is a bounded sample of docs: the `sample` texts with the smallest hashes, and of
     each its first 4000 characters. (Scanning reads whole texts.)"""
-    rows = docs.select(F.substring(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 1, 4000).alias("t"), F.xxhash64(text_col).alias("h")).orderBy("h", "t").limit(sample).collect()
-    return train([r.t for r in rows])
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    picked = docs.select(F.xxhash64(text).alias("h")).distinct().orderBy("h").limit(sample)  # no texts go to the driver here
+    rows = docs.select(F.xxhash64(text).alias("h"), F.substring(text, 1, 4000).alias("t")).join(F.broadcast(picked), "h", "left_semi").groupBy("h").agg(F.min("t").alias("t")).collect()
+    return train([r.t for r in sorted(rows, key=lambda r: r.h)])
 
 
 FINDING = "array<struct<line:int,word:int,family:string,score:double,likeness:double>>"
