@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkwright.llm.components import components
-from linkwright.llm.shared import forget, materialize
+from linkwright.llm.shared import by_bytes, forget, materialize, tidy
 
 #: Documents of a bucket that one task holds in a trie, and rows that it compares by their histograms.
 TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
@@ -21,6 +21,8 @@ TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
 SLOTS, BINS, FINE_BINS = 1 << 20, 64, 512
 #: Most frequent tokens that go to the end of the global order, and how often a task must meet one in a slice to report it.
 COMMON, REPORTED = 400_000, 2
+#: Rows up to which a table of ids is broadcast (about 8 MB).
+BROADCAST = 200_000
 ROUNDS = 3
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -186,12 +188,8 @@ def _by_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("k1"), F.hash(text).alias("k2"), text.alias("text"))
 
 
-def _slices(batch: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    import pyarrow.compute as pc
-
-    block = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)) // most
-    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
-    yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return by_bytes(batch, batch.schema.get_field_index("text"), 4_000_000)
 
 
 PREFIXES = "doc_id long, k1 long, k2 int, n int, bins binary, token long"
@@ -216,7 +214,7 @@ def common_tokens(keyed: DataFrame, measure: Measure, most: int = COMMON) -> tup
                 many = count >= REPORTED
                 yield pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["token", "n"])
 
-    counted = keyed.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= 2 * REPORTED)
+    counted = keyed.mapInArrow(tidy(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= 2 * REPORTED)
     got = counted.orderBy(F.desc("n"), "token").limit(most).toArrow()
     tokens = got.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
@@ -287,6 +285,11 @@ def _dealt(rows: DataFrame, key: str, block: int) -> DataFrame:
     return out.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A table of a few numbers a row, marked to be broadcast if it has at most BROADCAST rows; else Spark shuffles it."""
+    return F.broadcast(table) if table.count() <= BROADCAST else table
+
+
 def _trie_group(measure: Measure) -> Callable:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["n", "rep"])
@@ -409,7 +412,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     keyed = _by_texts(docs, id_col, text_col)
     common = spark.sparkContext.broadcast(common_tokens(keyed, measure))
-    rows = materialize(keyed.mapInArrow(_prefixes(measure, common), PREFIXES), "prefixes")
+    rows = materialize(keyed.mapInArrow(tidy(_prefixes(measure, common)), PREFIXES), "prefixes")
     table = materialize(rows.where("token IS NULL").select("doc_id", "k1", "k2", "n", "bins"), "table")
     prefixes = rows.where("token IS NOT NULL").select("token", "k1").repartition("token").distinct()
     by_token = W.partitionBy("token")
@@ -418,7 +421,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     forget(rows)
     reps = table.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bins").alias("bins"))
     reps = materialize(reps, "reps")
-    fitting = materialize(_in_runs(buckets.join(reps.drop("k2"), "k1"), pair_block, []).mapInArrow(_alive(measure), "rep long").distinct(), "fitting")
+    fitting = materialize(_in_runs(buckets.join(reps.drop("k2"), "k1"), pair_block, []).mapInArrow(tidy(_alive(measure)), "rep long").distinct(), "fitting")
     live = materialize(reps.join(fitting, "rep", "left_semi").select("rep", "n", "k1", "k2"), "live")
     named = materialize(buckets.join(live.select("k1", "rep", "n"), "k1").select("token", "rep", "n"), "named")
     forget(buckets)
@@ -426,24 +429,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     for i, c in enumerate(("k1", "rep")):
         slots[i, [r.s for r in live.select(F.pmod(c, F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
     mine = live.select("rep", F.col("k1").alias("l1"), F.col("k2").alias("l2"))
-    sets = keyed.mapInArrow(_sets(measure, np.packbits(slots, axis=1)), SETS).join(mine, F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
+    sets = keyed.mapInArrow(tidy(_sets(measure, np.packbits(slots, axis=1))), SETS).join(mine, F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
     sets = materialize(sets.dropDuplicates(["rep", "k1"]), "sets")  # a repeated id can stand for two texts
 
     twice = table.where("n > 0").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
     edges = materialize(twice, "links")
     found = components(edges)
     for k in range(rounds):
-        rest = sets.join(found.where("node <> component"), F.col("rep") == F.col("node"), "left_anti")
-        dealt = _dealt(rest.select("rep", "n", "tokens", F.col(f"m{k}").alias("m")), "m", trie_block)
-        new = dealt.groupBy("m", "block").applyInPandas(_trie_group(measure), "a long, b long")
+        rest = sets.select("rep", "k1", F.col(f"m{k}").alias("m")).join(found.where("node <> component"), F.col("rep") == F.col("node"), "left_anti")
+        dealt = _small(materialize(_dealt(rest, "m", trie_block).select("rep", "k1", "m", "block"), "dealt"))
+        new = sets.select("rep", "k1", "n", "tokens").join(dealt, ["rep", "k1"]).groupBy("m", "block").applyInPandas(_trie_group(measure), "a long, b long")
         edges = materialize(edges.unionByName(new), "links")
         found = components(edges)
     named = named.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
     mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high").select("token", "size")
     mixed = named.join(mixed, "token").join(sets.select("rep", "bins"), "rep")
-    pairs = _in_runs(mixed, pair_block, ["component"]).mapInArrow(_pairs_of_runs(measure), "a long, b long").distinct()
-    whole = pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b")
-    edges = materialize(edges.unionByName(whole.select("a", "b", "x", "y").mapInArrow(_verified(measure), "a long, b long")), "links")
+    pairs = _in_runs(mixed, pair_block, ["component"]).mapInArrow(tidy(_pairs_of_runs(measure)), "a long, b long").distinct()
+    pairs = materialize(pairs, "pairs")
+    both = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    few = sets.select("rep", "tokens").join(_small(materialize(both, "ids")), "rep", "left_semi")
+    whole = pairs.join(few.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(few.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b")
+    edges = materialize(edges.unionByName(whole.select("a", "b", "x", "y").mapInArrow(tidy(_verified(measure)), "a long, b long")), "links")
     found = components(edges)
     forget(sets)
     out = table.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(found, F.col("rep") == F.col("node"), "left")
