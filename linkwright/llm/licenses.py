@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkwright.llm.shared import by_bytes, tidy
 from linkwright.llm.words import hash_words
 
 #: Words of a paragraph; longer lines are read as paragraphs that overlap by half.
@@ -229,11 +230,10 @@ def scan(docs: DataFrame, scanner: Scanner, *, text_col: str = "text", out_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            for start in range(0, batch.num_rows, 400):
-                part = batch.slice(start, 400)
+            for part in by_bytes(batch, at, 1_000_000):
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found(part.column(at).to_pylist()), arrow)], names=schema.names)
 
-    return docs.select(*[F.col(f"`{f.name}`") for f in keep]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{f.name}`") for f in keep]).mapInArrow(tidy(run), schema)
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

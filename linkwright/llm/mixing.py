@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkwright.llm.shared import materialize
+from linkwright.llm.shared import by_bytes, materialize, tidy
 
 #: Dimensions that byte trigrams are hashed to; fixed-point scale of the token sums, which makes them independent of order.
 DIMS, FIXED = 2048, 1 << 16
+#: Bytes of text that a task makes features of at a time.
+SLICE = 1_000_000
 
 
 def trigram_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +59,7 @@ def fit_classifier(labelled: DataFrame, domains: tuple[str, ...], *, text_col: s
             f = trigram_features(batch.column("text").to_pylist())[0]
             yield pa.RecordBatch.from_arrays([batch.column("domain"), pa.array([x.tobytes() for x in f], pa.binary())], names=["domain", "f"])
 
-    got = sorted(rows.select("domain", "text").mapInArrow(run, "domain string, f binary").collect(), key=lambda r: (r.domain, bytes(r.f)))
+    got = sorted(rows.select("domain", "text").mapInArrow(tidy(run), "domain string, f binary").collect(), key=lambda r: (r.domain, bytes(r.f)))
     if not got:
         return Classifier(domains, None)
     x = np.stack([np.frombuffer(r.f, np.float32) for r in got]).astype(np.float64)
@@ -94,12 +96,11 @@ def membership(docs: DataFrame, classifier: Classifier, *, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in by_bytes(batch, 1, SLICE):
                 f, words = trigram_features(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words), pa.array(list(classifier.posteriors(f)), pa.list_(pa.float64()))], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, *, most: float = float("inf"), rounds: int = 40, tolerance: float = 1e-4) -> Rates:
@@ -126,7 +127,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, *, most: float = float("i
             yield pa.RecordBatch.from_arrays([pa.array([str(x)]) for x in sums], names=[f"s{i}" for i in range(len(sums))])
 
         shape = ", ".join(f"s{i} string" for i in range(d + d * d))
-        got = members.select("tokens", "posteriors").mapInArrow(run, shape).agg(*[F.sum(F.col(f"s{i}").cast("decimal(38,0)")) for i in range(d + d * d)]).first()
+        got = members.select("tokens", "posteriors").mapInArrow(tidy(run), shape).agg(*[F.sum(F.col(f"s{i}").cast("decimal(38,0)")) for i in range(d + d * d)]).first()
         sums = np.array([float(x or 0) / FIXED for x in got])
         return sums[:d], sums[d:].reshape(d, d)
 
@@ -155,7 +156,7 @@ def with_rates(members: DataFrame, rates: Rates) -> DataFrame:
             r = rates.of(p.reshape(batch.num_rows, -1)) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.round(r, 6))], names=schema.names)
 
-    return members.mapInArrow(run, schema)
+    return members.mapInArrow(tidy(run), schema)
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, tokens: float | None = None, most: float = float("inf"), id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> DataFrame:
@@ -191,12 +192,11 @@ def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for part in by_bytes(batch, at, SLICE):
                 p = classifier.posteriors(trigram_features(part.column(at).to_pylist())[0])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rates.of(p))], names=schema.names)
 
-    rated = docs.mapInArrow(run, schema)
+    rated = docs.mapInArrow(tidy(run), schema)
     draw = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     return rated.where(draw < F.col("__rate")).drop("__rate")
 

@@ -15,9 +15,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from linkwright.llm.shared import by_bytes, tidy
+
 TIERS = (256, 512, 1024, 2048, 4096)
 #: Tokens that one task holds and packs at a time, tokens of one optimizer step, chunks of text whose ids a worker remembers.
-BLOCK_TOKENS, STEP_TOKENS, MEMO = 1_000_000, 65_536, 250_000
+BLOCK_TOKENS, STEP_TOKENS, MEMO = 1_000_000, 65_536, 150_000
 
 
 #: Texts with a sign from here on, with an apostrophe, a special token's brackets or an odd blank are split at blanks only.
@@ -80,13 +82,6 @@ class WordEncoder:
         return ids, np.append(0, ends)[lists.offsets.to_numpy()]
 
 
-def by_bytes(batch: pa.RecordBatch, column: int, most: int = 6_000_000) -> Iterator[pa.RecordBatch]:
-    """The batch in slices whose texts have about `most` bytes, one row at least."""
-    block = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)) // most
-    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
-    yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
-
-
 @lru_cache(1)
 def encoder_of(definition: bytes) -> WordEncoder:
     """A Python worker's encoder, which its later tasks find warm."""
@@ -194,7 +189,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for part in by_bytes(batch, 1):
+            for part in by_bytes(batch, 1, 6_000_000):
                 flat, begin = encoder.encode(part.column(1))
                 for k, i in enumerate(part.column(0).to_pylist()):
                     ids.append(i)
@@ -206,7 +201,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
         if held:
             yield flush()
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

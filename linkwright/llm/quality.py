@@ -11,7 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkwright.llm.shared import by_bytes, tidy
+
 PASSAGE_WORDS = 64
+#: Bytes of text that a task encodes at a time.
+SLICE = 1_000_000
 #: Byte classes that the encoder counts.
 SPACE, SYMBOL, MARKS = b" \t\n\x0b\x0c\r", b"#$%&*@^~=+<>\\/{}[]_", b"!?|,.;:-'\"()"
 FEATURES = ("words", "mean_length", "distinct", "same_as_last", "same_as_last_but_one", "upper", "digit", "non_ascii", "symbol", *(f"mark_{chr(b)}" for b in MARKS), "ends_in_symbol", "no_letter", "shouted", "short", "doc_words", "doc_distinct", "doc_lines", "doc_upper", "doc_symbol")
@@ -187,11 +191,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f, owner = encode_passages(batch.column(1).to_pylist())
-            own = [f[owner == i][:MOST_PASSAGES].tobytes() for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary()), batch.column(2)], names=["lid", "f", "y"])
+            for part in by_bytes(batch, 1, SLICE):
+                f, owner = encode_passages(part.column(1).to_pylist())
+                own = [f[owner == i][:MOST_PASSAGES].tobytes() for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary()), part.column(2)], names=["lid", "f", "y"])
 
-    got = rows.mapInArrow(run, T.StructType([T.StructField("lid", rows.schema["lid"].dataType), T.StructField("f", T.BinaryType()), T.StructField("y", T.DoubleType())])).collect()
+    got = rows.mapInArrow(tidy(run), T.StructType([T.StructField("lid", rows.schema["lid"].dataType), T.StructField("f", T.BinaryType()), T.StructField("y", T.DoubleType())])).collect()
     if not got:
         return None
     got.sort(key=lambda r: (str(r.lid), bytes(r.f)))
@@ -215,8 +220,7 @@ def score(docs: DataFrame, model: Model | None, *, text_col: str = "text", out_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for part in by_bytes(batch, at, SLICE):
                 if model is None:
                     y = np.full(part.num_rows, 0.5)
                 else:
@@ -224,7 +228,7 @@ def score(docs: DataFrame, model: Model | None, *, text_col: str = "text", out_c
                     y = model.score(f, owner, part.num_rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(y, pa.float64())], names=schema.names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(tidy(run), schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

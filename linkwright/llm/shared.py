@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,3 +41,25 @@ def forget(df: DataFrame) -> None:
     spark = df.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(df.materialized_at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose values of a column have about `most` bytes, one row at least: what bounds a task's memory."""
+    block = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving freed memory back to the system when a task ends: Python workers live on, and the next stage's tasks
+    (or the executor's JVM) need what the allocators would keep."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return inner

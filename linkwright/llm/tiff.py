@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkwright.llm.shared import materialize
+from linkwright.llm.shared import by_bytes, materialize, tidy
 
 #: The format's tags, compression codes and field types (size and letter).
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, DESCRIPTION = 256, 257, 258, 259, 262, 270
@@ -247,15 +247,15 @@ def store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part, media = batch.slice(at, 500), []
+            for part in by_bytes(batch, 1, 4_000_000):
+                media = []
                 for x in part.column(1).cast(pa.large_binary()).to_pylist():
                     x = x or b""
                     padded = max(1, -(-len(x) // layout.width)) * layout.width
                     media.append(write_tiff(x.ljust(padded, b"\0"), layout, f"bytes={len(x)}"))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(media, pa.binary())], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media", samples: bool = False) -> DataFrame:
@@ -298,7 +298,7 @@ def pages(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media",
                         index.append(i)
                 yield pa.RecordBatch.from_arrays([own.take(pa.array(index, pa.int64())), *[pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]], names=schema.names)
 
-    return media.select(id_col, media_col).mapInArrow(run, schema)
+    return media.select(id_col, media_col).mapInArrow(tidy(run), schema)
 
 
 def op5_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
