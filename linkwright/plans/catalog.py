@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from linkwright.functions import fuzzy
 from linkwright.functions import normalize as N
 from linkwright.functions.vocab import ADDRESS_STOPWORDS, LEGAL, PHONETIC, mine_countries
-from linkwright.operators import baselines, blocking, context, decide, features, graph, metrics, profile, split, validate
+from linkwright.operators import baselines, blocking, context, decide, features, graph, metrics, pools, profile, split, validate
 from linkwright.operators.blocking import CHANNELS, Caps
 from linkwright.plans import fixtures as X
 from linkwright.plans.resolve import candidates, resolve
@@ -669,6 +669,52 @@ def fuzzy_scores(spark, sf):
     return rounded(f.select("s1_id", "cand_id", "z.*"))
 
 
+_SIDE = "entity_id, business_name, business_address, country"
+
+
+@query(f"WITH {_N} SELECT {_SIDE} FROM e ORDER BY substr(entity_id, 1, 2), entity_id LIMIT 50")
+def pool_first_rows(spark, sf):
+    return pools.first_rows(X.e_part(spark, sf), 50)
+
+
+@query(f"WITH {_N} SELECT {_SIDE} FROM e ORDER BY md5('42|' || entity_id), entity_id LIMIT 40")
+def pool_sample(spark, sf):
+    return pools.sample(X.e_part(spark, sf), 40)
+
+
+@query(f"WITH {_N}, {_TRUTH} SELECT {_SIDE} FROM e WHERE entity_id IN (SELECT cand_id FROM truth) UNION SELECT {_SIDE} FROM (SELECT * FROM e WHERE entity_id NOT LIKE 'S1%' ORDER BY substr(entity_id, 1, 2), entity_id LIMIT 100)")
+def pool_training(spark, sf):
+    return pools.training_pool(X.e_part(spark, sf).where("entity_id NOT LIKE 'S1%'"), X.part_truth(spark, sf), 100)
+
+
+@query(f"WITH {_N}, {_SCORED} SELECT {_SIDE} FROM e WHERE entity_id IN (SELECT cand_id FROM scored WHERE p >= 0.8)")
+def pool_needed(spark, sf):
+    return pools.needed(X.e_part(spark, sf), X.part_scored(spark, sf).where("p >= 0.8"))
+
+
+@query(f"WITH {_N}, {_UNIVERSE}, {_SCORED}, r AS (SELECT s1_id, row_number() OVER (ORDER BY md5('42|' || s1_id), s1_id) AS place, count(*) OVER () AS k FROM u) SELECT * FROM scored WHERE s1_id IN (SELECT s1_id FROM r WHERE place > floor(k * 0.7::DOUBLE))")
+def pool_partition_members(spark, sf):
+    return pools.members(X.part_scored(spark, sf), split_simple(spark, sf), "test")
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_SCORED}, m AS (SELECT DISTINCT t.s1_id, t.cand_id FROM truth t WHERE (t.s1_id, t.cand_id) NOT IN (SELECT (s1_id, cand_id) FROM scored WHERE p >= 0.8)), x AS (SELECT len(list_intersect(a.toks, b.toks)) > 0 AS n, len(list_intersect(a.atoks, b.atoks)) > 0 AS ad, len(list_intersect(regexp_extract_all(a.addr_norm, '\\b\\d+[a-zA-Z]?\\b'), regexp_extract_all(b.addr_norm, '\\b\\d+[a-zA-Z]?\\b'))) > 0 AS m FROM m JOIN n a ON a.entity_id = m.s1_id JOIN n b ON b.entity_id = m.cand_id) SELECT CASE WHEN n OR ad OR m THEN 'retrievable' ELSE 'unretrievable' END AS category, count(*) AS links, count(*) FILTER (n) AS name, count(*) FILTER (ad) AS address, count(*) FILTER (m) AS number FROM x GROUP BY 1")
+def missed_retrievable(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    return pools.retrievable(X.part_truth(spark, sf), X.part_scored(spark, sf).where("p >= 0.8"), a, b)
+
+
+@query()
+def missed_categories(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    s = X.part_scored(spark, sf)
+    return pools.missed_categories(s.where("p >= 0.5"), s.where("p >= 0.8"), a, b)
+
+
+@query()
+def decide_strategies(spark, sf):
+    return rounded(pools.compare_strategies(_flagged(spark, sf), X.part_truth(spark, sf), _universe(spark, sf)))
+
+
 # --- end to end ----------------------------------------------------------------------------------------------------
 
 @query()
