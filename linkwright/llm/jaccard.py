@@ -18,7 +18,7 @@ from linkwright.llm.shared import by_bytes, forget, materialize, tidy
 #: Documents of a bucket that one task holds in a trie, and rows that it compares by their histograms.
 TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
 #: Slots of the fixed-size table by which the second pass skips documents without a possible partner; bins of a histogram.
-SLOTS, BINS, FINE_BINS = 1 << 20, 64, 512
+SLOTS, BINS, FINE_BINS = 1 << 20, 64, 256
 #: Most frequent tokens that go to the end of the global order, and how often a task must meet one in a slice to report it.
 COMMON, REPORTED = 400_000, 2
 #: Rows up to which a table of ids is broadcast (about 8 MB).
@@ -265,9 +265,14 @@ def _prefixes(measure: Measure, common) -> Callable:
 
 def _sets(measure: Measure, slots: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, ids = np.unpackbits(slots, axis=1)
+        seen: set = set()
         for batch in batches:
-            texts, ids = np.unpackbits(slots, axis=1)
             wanted = (texts[batch.column("k1").to_numpy() % SLOTS] & ids[batch.column("doc_id").fill_null(0).to_numpy() % SLOTS]).astype(bool)
+            for i in np.flatnonzero(wanted):  # a row that repeats an id and its text adds nothing
+                key = (batch.column("doc_id")[i].as_py(), batch.column("k1")[i].as_py())
+                wanted[i] = key not in seen
+                seen.add(key)
             for part in _slices(batch.filter(pa.array(wanted))):
                 sets = shingle_sets(part.column("text").to_pylist(), measure.words)
                 if not sets:
@@ -429,8 +434,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     for i, c in enumerate(("k1", "rep")):
         slots[i, [r.s for r in live.select(F.pmod(c, F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
     mine = live.select("rep", F.col("k1").alias("l1"), F.col("k2").alias("l2"))
-    sets = keyed.mapInArrow(tidy(_sets(measure, np.packbits(slots, axis=1))), SETS).join(mine, F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
-    sets = materialize(sets.dropDuplicates(["rep", "k1"]), "sets")  # a repeated id can stand for two texts
+    sets = keyed.mapInArrow(tidy(_sets(measure, np.packbits(slots, axis=1))), SETS).join(_small(mine), F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
+    sets = materialize(sets, "sets")
 
     twice = table.where("n > 0").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
     edges = materialize(twice, "links")
@@ -441,9 +446,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         new = sets.select("rep", "k1", "n", "tokens").join(dealt, ["rep", "k1"]).groupBy("m", "block").applyInPandas(_trie_group(measure), "a long, b long")
         edges = materialize(edges.unionByName(new), "links")
         found = components(edges)
-    named = named.join(found, F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    mixed = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high").select("token", "size")
-    mixed = named.join(mixed, "token").join(sets.select("rep", "bins"), "rep")
+    named = named.join(_small(found), F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    mixed = named.withColumns({"low": F.min("component").over(by_token), "high": F.max("component").over(by_token), "size": F.count("*").over(by_token)}).where("low <> high").drop("low", "high")
+    mixed = mixed.join(sets.select("rep", "bins"), "rep")
     pairs = _in_runs(mixed, pair_block, ["component"]).mapInArrow(tidy(_pairs_of_runs(measure)), "a long, b long").distinct()
     pairs = materialize(pairs, "pairs")
     both = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
