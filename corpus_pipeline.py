@@ -44,11 +44,11 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every token of every document, packed into training sequences."""
+    """Every token of every document, packed into training sequences; with small memos, as the executors have run four stages."""
     from public_tokenizers import path
 
     with open(path("word_bpe_49k.json"), "rb") as f:
-        return packing.pack(docs, f.read())
+        return packing.pack(docs, f.read(), slice_bytes=2_000_000, memo=60_000)
 
 
 STAGES = [

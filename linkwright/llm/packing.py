@@ -15,11 +15,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from linkwright.llm.shared import by_bytes, tidy
+from linkwright.llm.shared import by_bytes, held, tidy
 
 TIERS = (256, 512, 1024, 2048, 4096)
 #: Tokens that one task holds and packs at a time, tokens of one optimizer step, chunks of text whose ids a worker remembers.
-BLOCK_TOKENS, STEP_TOKENS, MEMO = 1_000_000, 65_536, 150_000
+BLOCK_TOKENS, STEP_TOKENS, MEMO = 1_000_000, 65_536, 250_000
 
 
 #: Texts with a sign from here on, with an apostrophe, a special token's brackets or an odd blank are split at blanks only.
@@ -74,18 +74,21 @@ class WordEncoder:
         lists = pc.split_pattern(pc.replace_substring_regex(pc.if_else(odd, texts, plain), r"[\n\t\r]", " "), " ")
         coded = lists.values.dictionary_encode()
         each = self.known.get_all(coded.dictionary.to_pylist(), self._ids)
-        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        begin, word = np.cumsum(size) - size, coded.indices.to_numpy()
+        size = np.fromiter(map(len, each), np.int32, len(each)) // 4
+        begin, word = np.cumsum(size, dtype=np.int32) - size, coded.indices.to_numpy()
         n = size[word]
-        ends = np.cumsum(n)
-        ids = np.frombuffer(b"".join(each), "<u4")[np.repeat(begin[word] - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
+        ends = np.cumsum(n, dtype=np.int32)
+        at = np.repeat(begin[word] - (ends - n), n)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = np.frombuffer(b"".join(each), "<u4")[at]
         return ids, np.append(0, ends)[lists.offsets.to_numpy()]
 
 
+@held
 @lru_cache(1)
-def encoder_of(definition: bytes) -> WordEncoder:
+def encoder_of(definition: bytes, memo: int = MEMO) -> WordEncoder:
     """A Python worker's encoder, which its later tasks find warm."""
-    return WordEncoder(definition)
+    return WordEncoder(definition, memo)
 
 
 def pack_block(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
@@ -148,7 +151,7 @@ def balance(sizes: list[int], step_tokens: int = STEP_TOKENS) -> list[int]:
     return group
 
 
-def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tiers: tuple[int, ...] = TIERS, block_tokens: int = BLOCK_TOKENS, step_tokens: int = STEP_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tiers: tuple[int, ...] = TIERS, block_tokens: int = BLOCK_TOKENS, step_tokens: int = STEP_TOKENS, slice_bytes: int = 6_000_000, memo: int = MEMO) -> DataFrame:
     """Pieces of all docs, packed into sequences of at most max(tiers) tokens.
 
     tokenizer: the bytes of a tokenizers file (sent once to each executor; a few MB whatever the corpus). A null or
@@ -156,7 +159,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
     read, so other columns can't clash. An empty table gives no pieces.
 
     Each task tokenizes and packs its own rows in blocks of block_tokens and emits as it goes: no shuffle, and memory
-    that doesn't depend on the input. A retried task over the same input split gives the same pieces and ids.
+    that doesn't depend on the input (slice_bytes of text at a time, and up to twice memo remembered chunks). A retried task over the same input split gives the same pieces and ids.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(tokenizer)
@@ -164,7 +167,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = encoder_of(sent.value), TaskContext.get().partitionId() << 32
+        encoder, task = encoder_of(sent.value, memo), TaskContext.get().partitionId() << 32
         ids: list = []
         held: list[bytes] = []
         size = sequences = groups = 0
@@ -189,7 +192,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for part in by_bytes(batch, 1, 6_000_000):
+            for part in by_bytes(batch, 1, slice_bytes):
                 flat, begin = encoder.encode(part.column(1))
                 for k, i in enumerate(part.column(0).to_pylist()):
                     ids.append(i)
@@ -201,7 +204,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
         if held:
             yield flush()
 
-    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run, clear=False), schema)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,11 +50,22 @@ def by_bytes(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.Recor
     yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+_HELD: list = []
+
+
+def held(function):
+    """Mark a cached function whose results a Python worker keeps between the tasks of its own operator only."""
+    _HELD.append(function)
+    return function
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], clear: bool = True) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, giving freed memory back to the system when a task ends: Python workers live on, and the next stage's tasks
-    (or the executor's JVM) need what the allocators would keep."""
+    (or the executor's JVM) need what the allocators would keep. clear: first drop what other operators' tasks have held."""
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in _HELD if clear else ():
+            f.cache_clear()
         try:
             yield from run(batches)
         finally:
