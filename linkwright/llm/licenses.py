@@ -143,13 +143,13 @@ def train(background: list[str], *, copies: int = 40, steps: int = 300, seed: in
     grams, whole = _ngrams(words, line)
     scanner = Scanner(np.unique(grams[whole]), np.zeros((0, 0)), 1.0, ())
     words, line, begin = hash_words([e.encode() for e, _ in examples])
-    x = np.zeros((len(examples), len(scanner.vocabulary) + 1), np.float64)
+    x = np.zeros((len(examples), len(scanner.vocabulary) + 1), np.float32)
     at, gram = scanner.features(words, line)
     x[np.searchsorted(begin, at, "right") - 1, gram] = 1
     x[:, -1] = 1
-    y = np.eye(len(FAMILIES))[[f for _, f in examples]]
+    y = np.eye(len(FAMILIES), dtype=np.float32)[[f for _, f in examples]]
     kept = rng.random(len(examples)) < 0.8
-    w, v = np.zeros((x.shape[1], len(FAMILIES))), 0.0
+    w, v = np.zeros((x.shape[1], len(FAMILIES)), np.float32), np.float32(0)
     for _ in range(steps):
         z = x[kept] @ w
         e = np.exp(z - z.max(1, keepdims=True))
