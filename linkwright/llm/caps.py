@@ -31,9 +31,18 @@ class Code:
     seed: int = 5
 
     @staticmethod
-    def sized(vectors: int, bucket: int = 256, hits: int = 20) -> Code:
-        """As many filters as keep the mean bucket's size whatever the number of vectors."""
-        return Code(words=int(np.ceil(np.sqrt(max(256, vectors * hits / bucket)))), hits=hits)
+    def sized(vectors: int, dims: int, cosine: float, recall: float = 0.98, bucket: int = 256) -> Code:
+        """As many filters as keep the mean bucket's size, of which a vector gets as many as a pair at `cosine` needs to
+        share one with a probability of `recall`. Up to BLOCK vectors, or where no such number is found, one filter holds
+        all: exact, in blocks."""
+        if vectors <= BLOCK:
+            return Code(words=1)
+        for hits in HITS:
+            code = Code(words=int(np.ceil(np.sqrt(max(256, vectors * hits / bucket)))), hits=hits, least=hits)
+            found, error = shared(code, dims, cosine)
+            if found - 2 * error >= recall:
+                return code
+        return Code(words=1)
 
 
 @lru_cache(8)
@@ -72,10 +81,32 @@ def decode(unit: np.ndarray, code: Code) -> list[np.ndarray]:
     return out
 
 
+#: Filters per vector that Code.sized tries.
+HITS = (20, 28, 40, 56, 80, 112, 160, 224, 320)
+
+
+@lru_cache(64)
+def shared(code: Code, dims: int, cosine: float, pairs: int = 2000) -> tuple[float, float]:
+    """The share of random pairs at exactly `cosine` with a common filter (the code's recall there; it is higher for nearer
+    pairs), and its standard error. The rotation and the words are random, so it holds for any pair."""
+    rng = np.random.default_rng(code.seed + 1)
+    hit = 0
+    for at in range(0, pairs, 250):
+        n = min(250, pairs - at)
+        a, b = rng.normal(size=(2, n, dims))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(1, keepdims=True) * a
+        b = cosine * a + np.sqrt(max(0.0, 1 - cosine**2)) * b / np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
+        b /= np.linalg.norm(b, axis=1, keepdims=True)
+        hit += sum(len(np.intersect1d(x, y, assume_unique=True)) > 0 for x, y in zip(decode(a, code), decode(b, code), strict=True))
+    p = hit / pairs
+    return p, float(np.sqrt(max(p * (1 - p), 1 / pairs) / pairs))
+
+
 ROW = "rep long, size long, dims int, vec binary, filters array<long>"
 
 
-def _decoded(classes: DataFrame, code: Code) -> DataFrame:
+def _decoded(classes: DataFrame, codes: dict[int, Code]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -85,7 +116,7 @@ def _decoded(classes: DataFrame, code: Code) -> DataFrame:
                 for dims in {len(v) for v in vectors}:
                     own = [i for i, v in enumerate(vectors) if len(v) == dims]
                     x = np.stack([vectors[i] / np.linalg.norm(vectors[i]) for i in own])
-                    for i, f in zip(own, decode(x, code), strict=True):
+                    for i, f in zip(own, decode(x, codes[dims]), strict=True):
                         filters[i] = f
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(v) for v in vectors], pa.int32()), pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(filters, pa.list_(pa.int64()))], names=["rep", "size", "dims", "vec", "filters"])
 
@@ -155,7 +186,7 @@ def _compare(least: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, code: Code | None = None, block: int = BLOCK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, recall: float = 0.98, code: Code | None = None, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links (other vectors with a cosine of `least` or more), component_id (smallest id reachable), kept.
 
     Vectors that are null or empty, zero, or hold null or non-finite components link with nothing, and neither do vectors
@@ -165,7 +196,8 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     Equal vectors are one class from the start. A class goes to the filters that it exceeds; within a filter's bucket all
     pairs are verified in double precision as blocks of a matrix, a large bucket as pairs of blocks, so no task holds more
     than two blocks. A bucket emits a count and a root per linked vector, never pairs; a pair is counted in the smallest
-    filter that both exceed.
+    filter that both exceed. A pair at exactly `least` is found with a probability of `recall`, a nearer one with a higher
+    one, whatever the number of vectors (Code.sized); `code` takes its place.
     """
     spark = vectors.sparkSession
     v = vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("x"))
@@ -173,8 +205,9 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     sound = F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall("x", lambda c: F.coalesce(~c.isin(*bad), F.lit(False))) & F.exists("x", lambda c: c != 0)
     v = v.withColumn("x", F.when(sound, F.col("x"))).distinct()
     grouped = materialize(v.where("x IS NOT NULL").groupBy("x").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("size")), "classes")
-    code = code or Code.sized(grouped.count())
-    rows = materialize(_decoded(grouped.select("rep", "size", "x"), code), "filters")
+    held = grouped.groupBy(F.size("x").alias("dims")).agg(F.count("*").alias("n")).collect()
+    codes = {r.dims: code or Code.sized(r.n, r.dims, least, recall) for r in held}
+    rows = materialize(_decoded(grouped.select("rep", "size", "x"), codes), "filters")
     spread = rows.select("rep", "size", "dims", "vec", "filters", F.explode("filters").alias("f"))
     counts = rows.select("dims", F.explode("filters").alias("f")).groupBy("dims", "f").agg(F.count("*").alias("n")).where("n > 1")
     dealt = spread.join(counts, ["dims", "f"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))

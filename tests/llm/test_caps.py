@@ -55,6 +55,23 @@ def test_list_decoding_is_complete():
         assert len(got) >= 3 and (got.tolist() == want.tolist() or len(want) < 3)
 
 
+def test_recall_holds_as_tables_grow(spark):
+    for vectors in (20_000, 1_000_000, 100_000_000):
+        code = caps.Code.sized(vectors, 64, 0.9)
+        found, error = caps.shared(code, 64, 0.9)
+        assert found - 2 * error >= 0.98 and code.words**2 * 256 >= vectors * code.hits
+    assert caps.Code.sized(caps.BLOCK, 64, 0.9).words == 1 and caps.Code.sized(100_000, 64, 0.3, recall=1.0).words == 1
+    rng = np.random.default_rng(7)
+    a, b = rng.normal(size=(2, 600, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    x = np.concatenate([a, 0.9001 * a + np.sqrt(1 - 0.9001**2) * b / np.linalg.norm(b, axis=1, keepdims=True)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for vectors in (1_000_000, 100_000_000):
+        got = caps.near_duplicates(df, code=caps.Code.sized(vectors, 64, 0.9)).where("n_links > 0").count()
+        assert got >= 0.97 * 1200, (vectors, got)  # 0.98 less two standard errors of 600 pairs
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 60)] + [(5, 5), (7, 6), (200, 150), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
