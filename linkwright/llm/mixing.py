@@ -33,10 +33,12 @@ def trigram_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Classifier:
-    """Softmax regression over trigram_features; without labelled rows all domains are equally likely."""
+    """Softmax regression over trigram_features; without labelled rows all domains are equally likely. absent: domains
+    that no labelled row has."""
 
     domains: tuple[str, ...]
     weights: np.ndarray | None
+    absent: frozenset[str] = frozenset()
 
     def posteriors(self, features: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -72,7 +74,7 @@ def fit_classifier(labelled: DataFrame, domains: tuple[str, ...], *, text_col: s
         g = x.T @ (e / e.sum(1, keepdims=True) - y) / len(x) + decay / len(x) * w
         v = 0.9 * v - rate * 0.1 * g
         w = w + v
-    return Classifier(domains, w)
+    return Classifier(domains, w, frozenset(domains) - {r.domain for r in got})
 
 
 @dataclass(frozen=True)
@@ -174,19 +176,20 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, toke
 
 
 def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", seed: int = 0) -> DataFrame:
-    """The rows of docs that stay when each is kept with its rate: as many tokens in the targets' proportions as docs can
-    give without repeating a document. A hash of id and text decides, so the same documents stay in every run. Columns as
+    """The rows of docs that stay when each is kept with its rate. A domain's target is its share of all tokens of docs, or
+    all that it has where that is less, as no document is repeated: a scarce domain stays whole and takes nothing from the
+    others. The share of a domain that no labelled row has goes to the others. A hash of id and text decides, so the same documents stay in every run. Columns as
     in docs. Rates are a function of the text, so nothing is joined or shuffled."""
     classifier = fit_classifier(labelled, tuple(weights), text_col=text_col, domain_col=domain_col, id_col=id_col)
     members = materialize(membership(docs, classifier, id_col=id_col, text_col=text_col), "members")
-    share = np.array(list(weights.values()), float)
-    share /= share.sum()
+    absent = np.array([d in classifier.absent for d in weights])
+    share = np.where(absent, 0.0, list(weights.values()))
+    share /= share.sum() or 1
     have = members.select("tokens", F.posexplode("posteriors").alias("d", "p")).groupBy("d").agg(F.sum(F.col("tokens") * F.col("p")).alias("s")).collect()
     held = np.zeros(len(share))
     for r in have:
         held[r.d] = r.s
-    total = float(min((held[share > 0] / share[share > 0]).min(), held.sum()))
-    rates = fit_rates(members, share * total, most=1.0)
+    rates = fit_rates(members, np.where(absent, held, np.minimum(share * held.sum(), held)), most=1.0)
     schema = T.StructType([*docs.schema.fields, T.StructField("__rate", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

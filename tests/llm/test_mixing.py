@@ -58,6 +58,20 @@ def test_resample(spark):
     assert mixing.resample(docs.limit(0), docs, {"en": 1.0}).count() == 0
 
 
+def test_resample_keeps_the_rest_of_skewed_domains(spark):
+    rng = np.random.default_rng(3)
+    weights = {"en": 0.55, "de": 0.34, "fr": 0.11}
+    for counts in ({"en": 300, "de": 280, "fr": 6}, {"en": 300, "de": 280}, {"fr": 40}):
+        langs = [d for d, n in counts.items() for _ in range(n)]
+        rows = [(i, " ".join(rng.choice(WORDS[d].split(), 40)), d) for i, d in enumerate(langs)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+        got = [r.domain for r in mixing.resample(docs, docs, weights).collect()]
+        present = sum(weights[d] for d in counts)
+        for d, n in counts.items():
+            want = min(weights[d] / present * len(rows), n)
+            assert abs(got.count(d) - want) <= 3 * np.sqrt(want * (1 - want / n)) + 0.03 * n, (counts, d, got.count(d), want)
+
+
 def test_classifier_accuracy(spark):
     docs = corpus(spark)
     c = mixing.fit_classifier(docs.where("doc_id % 2 = 0"), tuple(WORDS))
