@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 from linkwright.llm.shared import by_bytes, tidy
 from linkwright.llm.words import hash_words
 
-#: Words of a paragraph; longer lines are read as paragraphs that overlap by half.
+#: Words of a window; longer lines and paragraphs are read as windows that overlap by half.
 PARAGRAPH, STRIDE = 48, 24
 #: Licence families and the sentences that give notice of them.
 TEMPLATES = {
@@ -71,7 +72,8 @@ FAMILIES = (*TEMPLATES, "unknown")
 
 
 def _ngrams(words: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the 1- to 3-grams that begin at each word (shape 3 x words) and whether each is whole within its line."""
+    """Hashes of the 1- to 3-grams that begin at each word (shape 3 x words) and whether each is whole within its line (or
+    whatever parts the words)."""
     n = len(words)
     grams, whole = np.zeros((3, n), np.uint64), np.zeros((3, n), bool)
     total = np.zeros(n, np.uint64)
@@ -178,22 +180,57 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", samp
     return train([r.t for r in sorted(rows, key=lambda r: r.h)])
 
 
+def paragraphs(line: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The paragraph of each word: consecutive lines of a text that have words."""
+    new = np.zeros(len(line), bool)
+    new[1:] = np.diff(line) > 1
+    new[begin[:-1][begin[:-1] < len(line)]] = True
+    return np.cumsum(new)
+
+
 FINDING = "array<struct<line:int,word:int,family:string,score:double,likeness:double>>"
 
 
 def scan(docs: DataFrame, scanner: Scanner, *, text_col: str = "text", out_col: str = "licenses") -> DataFrame:
-    """Docs with out_col: an array of findings (line, first word of the paragraph within the text, family, score, likeness).
+    """Docs with out_col: an array of findings (line, first word within the text, family, score, likeness).
 
-    A finding is a paragraph whose likeliest class is a family with a score of scanner.least_score, and which holds
-    scanner.least_likeness of the 3-grams of one of the family's template sentences. Paragraphs without any known n-gram
-    are unknown. Each line gives a family once, at its likeliest paragraph. A null or empty text has no findings; equal
-    texts have equal ones; an input column named out_col is replaced. One narrow pass over whole texts.
+    Texts are read in paragraphs (consecutive lines with words), so a wrapped notice is whole. A finding is a place in a
+    paragraph that holds scanner.least_likeness of the 3-grams of one of a family's template sentences and whose likeliest
+    class is that family with a score of scanner.least_score; notices side by side are found each. Where a sentence's
+    words lie too far apart for a place, its window counts. A finding stands at its first line, which gives a family once.
+    A null or empty text has no findings; equal texts have equal ones; an input column named out_col is replaced. One
+    narrow pass over whole texts.
     """
     keep = [f for f in docs.schema.fields if f.name != out_col]
     kind = T._parse_datatype_string(FINDING)
     schema = T.StructType([*keep, T.StructField(out_col, kind)])
     arrow = pa.list_(pa.struct([("line", pa.int32()), ("word", pa.int32()), ("family", pa.string()), ("score", pa.float64()), ("likeness", pa.float64())]))
 
+    owner = [f for f, own in enumerate(scanner.templates) for _ in own]
+    grams = [t for own in scanner.templates for t in own]
+    sentences = np.zeros((len(scanner.vocabulary), len(grams)))
+    for k, t in enumerate(grams):
+        sentences[t, k] = 1 / len(t)
+    in_template = sentences.any(1)
+
+    def spans(at: np.ndarray, gram: np.ndarray, sentence: int) -> list[tuple[int, int]]:
+        """First words and ends of the places, little longer than the sentence, that hold enough of its 3-grams, best first."""
+        own = sentences[gram, sentence] > 0
+        place, gram = at[own], gram[own]
+        out, long = [], len(grams[sentence]) + 8
+        while len(place):
+            best = (0, 0, 0, 0)
+            for k, e in enumerate(np.searchsorted(place, place + long).tolist()):
+                new = np.unique(gram[k:e], return_index=True)[1]
+                last = k + int(new.max())
+                best = max(best, (len(new), int(place[k] - place[last]), k, last))  # most, then shortest
+            number, _, k, last = best
+            if number < (scanner.least_likeness - 1e-9) * len(grams[sentence]):
+                break
+            out.append((int(place[k]), int(place[last]) + 3))
+            place, gram = np.delete(place, slice(k, last + 1)), np.delete(gram, slice(k, last + 1))
+        return out
+
     def found(texts: list[str | None]) -> list[list[dict]]:
         raw = [(x or "").encode("utf-8", "replace") for x in texts]
         words, line, begin = hash_words(raw)
@@ -201,30 +238,44 @@ def scan(docs: DataFrame, scanner: Scanner, *, text_col: str = "text", out_col:
         if not len(words):
             return [[] for _ in texts]
         before = np.cumsum([0] + [x.count(b"\n") + 1 for x in raw])
-        at, gram = scanner.features(words, line)
+        block = paragraphs(line, begin)
+        at, gram = scanner.features(words, block)
         order = np.argsort(at, kind="stable")
         at, gram = at[order], gram[order]
-        near = np.unique(line[at])  # only lines with a known n-gram need paragraphs
-        first, last = np.searchsorted(line, near), np.searchsorted(line, near, "right")
-        rows = [(int(n), p, min(b, p + PARAGRAPH)) for n, a, b in zip(near, first, last, strict=True) for p in range(a, max(a + 1, b - STRIDE), STRIDE)]
-        lo = np.searchsorted(at, [r[1] for r in rows])
-        hi = np.searchsorted(at, [r[2] for r in rows])
-        busy = [(r, a, b) for r, a, b in zip(rows, lo, hi, strict=True) if b - a >= 3]
+        hits = np.concatenate([[0], np.cumsum(in_template[gram])])
+        first = np.searchsorted(block, np.unique(block[at]))
+        last = np.searchsorted(block, np.unique(block[at]), "right")
+        rows = [(p, min(n, p + PARAGRAPH), m, n) for m, n in zip(first.tolist(), last.tolist(), strict=True) for p in range(m, max(m + 1, n - STRIDE), STRIDE)]
+        lo, hi = np.searchsorted(at, [r[0] for r in rows]), np.searchsorted(at, [r[1] for r in rows])
+        busy = [(*r, a, b) for r, a, b in zip(rows, lo.tolist(), hi.tolist(), strict=True) if hits[b] - hits[a] >= 2]  # 0.6 of any sentence
+        seen: dict[tuple[int, int, int], tuple[float, float]] = {}
         for k in range(0, len(busy), 512):
             part = busy[k : k + 512]
             present = np.zeros((len(part), len(scanner.vocabulary)), np.float64)
-            for i, (_, a, b) in enumerate(part):
+            for i, (*_, a, b) in enumerate(part):
                 present[i, gram[a:b]] = 1
             p = scanner.probabilities(present)
-            for i in np.flatnonzero((p[:, :-1].max(1) >= scanner.least_score) & (p.argmax(1) < len(TEMPLATES))):
-                family = int(p[i].argmax())
-                likeness = scanner.likeness(family, present[i])
-                if likeness >= scanner.least_likeness:
-                    (n, start, _), *_ = part[i]
-                    doc = int(np.searchsorted(begin, start, "right") - 1)
-                    key, score = (n - int(before[doc]), family), round(float(p[i, family]), 6)
-                    if score > out[doc].get(key, (0,))[0]:
-                        out[doc][key] = (score, start - int(begin[doc]), round(likeness, 6))
+            for i, t in zip(*(x.tolist() for x in np.nonzero(present @ sentences >= scanner.least_likeness - 1e-9)), strict=True):
+                (begins, ends, m, n, a, b), family = part[i], owner[t]
+                c, d = np.searchsorted(at, [max(m, begins - PARAGRAPH), min(n, ends + PARAGRAPH)])
+                around = spans(at[c:d], gram[c:d], t)
+                for x, y in around:
+                    if (x, y, family) not in seen:
+                        here = np.zeros((1, len(scanner.vocabulary)))
+                        here[0, gram[slice(*np.searchsorted(at, [x, y]))]] = 1
+                        q = scanner.probabilities(here)[0]
+                        seen[x, y, family] = (float(q[family]) if q.argmax() == family else 0.0, scanner.likeness(family, here[0]))
+                if not around and p[i].argmax() == family:  # its words lie too far apart for one place
+                    seen[begins, ends, family] = (float(p[i, family]), scanner.likeness(family, present[i]))
+        taken: dict[int, list[tuple[int, int]]] = {}
+        for (x, y, family), (score, likeness) in sorted(seen.items(), key=lambda z: (-z[1][0], -z[1][1], z[0])):
+            others = taken.setdefault(family, [])
+            k = bisect(others, (x, y))
+            free = (k == 0 or others[k - 1][1] <= x) and (k == len(others) or others[k][0] >= y)
+            if score >= scanner.least_score and likeness >= scanner.least_likeness and free:
+                others.insert(k, (x, y))
+                doc = int(np.searchsorted(begin, x, "right") - 1)
+                out[doc].setdefault((int(line[x] - before[doc]), family), (round(score, 6), x - int(begin[doc]), round(likeness, 6)))
         return [[{"line": n, "word": w, "family": FAMILIES[f], "score": s, "likeness": like} for (n, f), (s, w, like) in sorted(own.items())] for own in out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,6 +37,31 @@ def test_finds_notices_and_leaves_text_alone(spark, scanner):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string"), scanner).count() == 0
 
 
+def test_wrapped_and_dual_notices(spark, scanner):
+    import textwrap
+
+    rows, want = [], {}
+    for name, own in licenses.TEMPLATES.items():
+        for s in own:
+            for wide, mark in ((100, ""), (72, ""), (40, "# "), (32, " * ")):
+                text = "\n".join(mark + x for x in ["Copyright of somebody", *textwrap.wrap(s, wide, break_on_hyphens=False), "the river went by an old mill"])
+                rows.append((len(rows), f"old trees\n\n{text}\n"))
+                want[len(rows) - 1] = [name]
+    for text, names in (
+        ("Released under the MIT License. Licensed under CC BY 4.0.", ["cc-by-4.0", "mit"]),
+        ("Released under the MIT License.\nLicensed under the Apache License, Version 2.0.", ["apache-2.0", "mit"]),
+        ("Licensed under the BSD 3-Clause License. This work is licensed under the GNU General Public License, version 3.", ["bsd", "gpl-3.0"]),
+        ("This work is licensed under a Creative\nCommons Attribution-ShareAlike 4.0\nInternational License.", ["cc-by-sa-4.0"]),
+        ("Licensed under CC BY 4.0.\n" * 3, ["cc-by-4.0"] * 3),
+        ("Released under\n\nthe MIT License.", []),
+    ):
+        rows.append((len(rows), text))
+        want[len(rows) - 1] = names
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), scanner).collect()}
+    assert {i: sorted(f.family for f in x) for i, x in got.items()} == want
+    assert all(rows[i][1].split("\n")[f.line].strip("#* ") for i, x in got.items() for f in x)
+
+
 def test_unknown_is_calibrated(scanner):
     from linkwright.llm.words import hash_words
 
