@@ -382,7 +382,7 @@ def features_all(spark, sf):
 @query(f"WITH {_N}, {_DF}, {_SCORED}, x AS (SELECT DISTINCT s1_id, cand_id, t FROM (SELECT s.s1_id, s.cand_id, unnest(a.toks) AS t FROM scored s JOIN n a ON a.entity_id = s.s1_id)), y AS (SELECT DISTINCT s1_id, cand_id, t FROM (SELECT s.s1_id, s.cand_id, unnest(b.toks) AS t FROM scored s JOIN n b ON b.entity_id = s.cand_id)), z AS (SELECT coalesce(x.s1_id, y.s1_id) AS s1_id, coalesce(x.cand_id, y.cand_id) AS cand_id, x.t IS NOT NULL AS i, y.t IS NOT NULL AS j, coalesce(d.df, 1) AS df FROM x FULL JOIN y ON x.s1_id = y.s1_id AND x.cand_id = y.cand_id AND x.t = y.t LEFT JOIN ndf d ON d.t = coalesce(x.t, y.t)), w AS (SELECT *, greatest(0.1::DOUBLE, ln(1334.0::DOUBLE) - ln(df)) AS idf FROM z) SELECT s1_id, cand_id, {_R(('coalesce(sum(idf) FILTER (i AND j), 0) / sum(idf)', 'idf_jaccard'), ('coalesce(max(idf) FILTER (i AND j), 0)', 'idf_shared_max'), ('coalesce(min(idf) FILTER (i AND j), 0)', 'idf_shared_min'), ('coalesce(avg(idf) FILTER (i AND j), 0)', 'idf_shared_mean'), ('coalesce(max(df) FILTER (i), 0)', 's1_max_df'))}, count(*) FILTER (i AND j AND df <= 500) AS idf_shared_rare FROM w GROUP BY 1, 2")
 def features_idf(spark, sf):
     a, b = X.sides(X.e_part(spark, sf))
-    f = features.idf_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, blocking.token_df(b, "name_norm"), 1334)
+    f = features.idf_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, blocking.token_df(b, "name_norm"), b.count())
     return rounded(f.drop("s1_all_common"))
 
 
