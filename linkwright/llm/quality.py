@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkwright.llm.shared import by_bytes, tidy
+from linkwright.llm.shared import by_bytes, forget, materialize, tidy
 
 PASSAGE_WORDS = 64
 #: Bytes of text that a task encodes at a time.
@@ -181,10 +181,12 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 6000, seed: int = 0, **training) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 6000, most_passages: int = 1_200_000, seed: int = 0, **training) -> Model | None:
     """A model from at most `sample` labelled documents that are not held out (a documented bound: those with the
     smallest hash of their id), or None if no labelled document is there. Null labels, ids and repeated ids are left out.
-    Encoding runs on the executors; the driver gets passages' features only, sample times a few KB at most."""
+    A document trains with all of its passages or, where those of the documents before it (in the same order) and its own
+    are more than most_passages, not at all; the first always does. Encoding runs on the executors; the driver gets
+    passages' features only."""
     rated = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col)).groupBy(F.col(id_col).alias("lid")).agg(F.min(label_col).alias("y"), F.max(label_col).alias("last")).where("y = last")
     picked = rated.orderBy(F.xxhash64("lid", F.lit(seed)), "lid").limit(sample)
     rows = docs.select(F.col(f"`{id_col}`").alias("lid"), F.col(f"`{text_col}`").alias("t")).join(F.broadcast(picked), "lid").select("lid", "t", F.col("y").cast("double").alias("y"))
@@ -193,21 +195,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         for batch in batches:
             for part in by_bytes(batch, 1, SLICE):
                 f, owner = encode_passages(part.column(1).to_pylist())
-                own = [f[owner == i][:MOST_PASSAGES].tobytes() for i in range(part.num_rows)]
+                own = [f[owner == i].tobytes() for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(own, pa.binary()), part.column(2)], names=["lid", "f", "y"])
 
-    got = rows.mapInArrow(tidy(run), T.StructType([T.StructField("lid", rows.schema["lid"].dataType), T.StructField("f", T.BinaryType()), T.StructField("y", T.DoubleType())])).collect()
-    if not got:
+    encoded = rows.mapInArrow(tidy(run), T.StructType([T.StructField("lid", rows.schema["lid"].dataType), T.StructField("f", T.BinaryType()), T.StructField("y", T.DoubleType())]))
+    encoded = materialize(encoded.withColumn("h", F.xxhash64("lid", F.lit(seed))), "encoded")
+    sizes = sorted(encoded.select("h", F.length("f").alias("n")).collect())
+    if not sizes:
         return None
+    total = np.cumsum([r.n for r in sizes]) // (4 * len(FEATURES))
+    beyond = [r.h for r, n in zip(sizes[1:], total[1:], strict=True) if n > most_passages]
+    got = (encoded.where((F.col("h") < beyond[0]) | (F.col("h") == sizes[0].h)) if beyond else encoded).collect()
+    forget(encoded)
     got.sort(key=lambda r: (str(r.lid), bytes(r.f)))
     each = [np.frombuffer(r.f, np.float32).reshape(-1, len(FEATURES)) for r in got]
     return train(np.concatenate(each), np.repeat(np.arange(len(got)), [len(e) for e in each]), np.array([r.y for r in got]), seed=seed, **training)
 
 
-#: A training document's passages beyond these don't train (scoring reads all): bounds what the driver holds.
-MOST_PASSAGES = 200
-
-
 def score(docs: DataFrame, model: Model | None, *, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """Docs with out_col, a double from 0 to 1: higher, likelier of label 1. Every passage of the whole text counts.
 

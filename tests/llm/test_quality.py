@@ -43,6 +43,21 @@ def test_learns_and_holds_out(spark):
     assert quality.score(docs, None).agg(F.max("score"), F.min("score")).first() == (0.5, 0.5)
 
 
+def test_trains_on_whole_documents(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "train", lambda f, owner, y, **_: taken.append(np.bincount(owner).tolist()))
+    rows = [(i, "word " * (64 * n)) for i, n in enumerate((300, 2, 5, 250, 1, 4, 3, 2))]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    quality.fit(docs, labels)
+    kept = labels.where(~quality.held_out("doc_id")).orderBy(F.xxhash64("doc_id", F.lit(0))).select("doc_id").collect()
+    size = [len(rows[r.doc_id][1].split()) // 64 for r in kept]
+    assert sorted(taken[0]) == sorted(size) and max(size) > 200
+    for most in (sum(size) - 1, 1):
+        quality.fit(docs, labels, most_passages=most)
+        n = max(1, int((np.cumsum(size) <= most).sum()))
+        assert sorted(taken[-1]) == sorted(size[:n])
+
+
 def test_passages_against_brute_force():
     texts = ["", None, "a b a " * 50, "One, TWO!! $x\n" * 30, "é É ü"]
     f, owner = quality.encode_passages(texts)
