@@ -1,6 +1,9 @@
 """Quality: learned passages separate junk, gradients are right, and edge cases have scores."""
 
+import math
+import re
 import zlib
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -58,32 +61,104 @@ def test_trains_on_whole_documents(spark, monkeypatch):
         assert sorted(taken[-1]) == sorted(size[:n])
 
 
+def finish(h):
+    h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) % 2**64
+    return h ^ (h >> 32)
+
+
+def plain_passages(text):
+    """The passages' counts by loops over words and bytes."""
+    words = [w for w in re.split(rb"[ \t-\r]+", (text or "").encode()) if w]
+    salt = [int(x) for x in quality._RANDOM]
+    kind = lambda b: 97 if b >= 128 or 97 <= b < 123 else 65 if 65 <= b < 91 else 48 if 48 <= b < 58 else b
+    total = lambda v: finish(sum(salt[b] * (2 * k + 1) for k, b in enumerate(v)) % 2**64)
+    out = []
+    for at in range(0, max(1, len(words)), 64):
+        row, own = np.zeros(quality.DIMS, int), words[at : at + 64]
+        lower = [w.lower() for w in own]
+        word = [total(w) for w in lower]
+        shape = []
+        for i, w in enumerate(own):
+            same = lower[i] in lower[max(0, i - 2) : i]
+            shape.append((total([k for k, _ in groupby(map(kind, w))]) + same * quality.REPEAT) % 2**64)
+        for each, most, dims, low in ((shape, 3, quality.SHAPE_DIMS, 0), (word, 2, quality.WORD_DIMS, quality.SHAPE_DIMS)):
+            for n in range(1, most + 1):
+                for i in range(len(each) - n + 1):
+                    h = sum(x * p for x, p in zip(each[i : i + n], quality.PLACES, strict=False)) % 2**64
+                    row[low + finish(h) % dims] += 1
+        for w in lower:
+            for x, y, z in zip(b"\0" + w, w, w[1:] + b"\0", strict=False):
+                h = ((x * 0x9E3779B1 ^ y * 0x85EBCA77 ^ z * 0xC2B2AE3D) % 2**32 * 0x27D4EB2F) % 2**32
+                row[quality.SHAPE_DIMS + quality.WORD_DIMS + (h >> 16) % quality.PIECE_DIMS] += 1
+        out.append(np.minimum(row, 255))
+    return np.array(out)
+
+
+def plain_score(model, text):
+    p, hidden, energy = model.p, [], []
+    for row in plain_passages(text):
+        x, low = [], 0
+        for dims in (quality.SHAPE_DIMS, quality.WORD_DIMS, quality.PIECE_DIMS):
+            part = row[low : low + dims]
+            x += [math.sqrt(c / max(1, part.sum())) for c in part]
+            low += dims
+        h = [math.tanh(sum(a * w for a, w in zip(x, column, strict=True)) + b) for column, b in zip(p["W"].T, p["b"], strict=True)]
+        gate = [math.tanh(np.dot(h, v)) / (1 + math.exp(-np.dot(h, u))) for v, u in zip(p["V"].T, p["U"].T, strict=True)]
+        hidden.append(h)
+        energy.append(math.exp(np.dot(gate, p["w"])))
+    mean = sum(np.array(h) * e for h, e in zip(hidden, energy, strict=True)) / sum(energy)
+    return 1 / (1 + math.exp(-(np.dot(mean, p["c"]) + float(p["d"]))))
+
+
+TEXTS = ["", None, " \n", "a b a " * 50, "One, TWO!! $x\n" * 30, "é É ü", "x" * 3000, "Rewh.### And&&& and&&& A1b2 \t\x0bw\r"]
+
+
 def test_passages_against_brute_force():
-    texts = ["", None, "a b a " * 50, "One, TWO!! $x\n" * 30, "é É ü"]
-    f, owner = quality.encode_passages(texts)
-    at = 0
-    for i, x in enumerate(texts):
-        words = (x or "").split()
-        for k in range(0, max(1, len(words)), 64):
-            own = words[k : k + 64]
-            assert owner[at] == i
-            if own:
-                row = dict(zip(quality.FEATURES, f[at], strict=True))
-                assert np.isclose(row["words"], np.log1p(len(own))) and np.isclose(row["distinct"], len(set(own)) / len(own))
-                assert np.isclose(row["mark_!"], "".join(own).count("!") / len(own)) and np.isclose(row["doc_lines"], x.count("\n") / len(words))
-            else:
-                assert not f[at].any()
-            at += 1
-    assert at == len(f)
-
-
-def test_attention_weighs_passages():
+    f, owner = quality.encode_passages(TEXTS)
+    want = [plain_passages(x) for x in TEXTS]
+    assert owner.tolist() == [i for i, w in enumerate(want) for _ in w]
+    assert np.array_equal(f, np.concatenate(want))
+    assert f.max() == 255  # one long word
+
+
+def test_scores_against_brute_force(spark):
+    rows = corpus(60)
+    model = quality.fit(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"), epochs=3)
+    texts = TEXTS + [t for _, t, _ in rows[:10]]
+    got = quality.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in got:
+        assert abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-8
+
+
+def test_attention_finds_the_passage():
+    """Of a document of clean passages and one of junk, the junk gets the attention that decides."""
+    rows = corpus()
+    f, owner = quality.encode_passages([t for _, t, _ in rows])
+    labels = np.array([q for _, _, q in rows], float)
+    model = quality.train(f, owner, labels)
+    starts = np.searchsorted(owner, np.arange(len(rows)))
+    s = quality._forward(model.p, quality._roots(f).astype(float), starts, np.diff(np.append(starts, len(f))))
+    assert np.allclose(np.bincount(owner, s["a"]), 1)
+    junk = np.zeros(len(f), bool)
+    junk[[k for k in range(len(f)) if f[k, : quality.SHAPE_DIMS].argmax() != f[starts[1], : quality.SHAPE_DIMS].argmax()]] = True
+    mixed = [i for i in range(len(rows)) if not labels[i] and 0 < junk[owner == i].sum() < (owner == i).sum()]
+    assert len(mixed) > 20
+    more = [s["a"][(owner == i) & junk].mean() > s["a"][(owner == i) & ~junk].mean() for i in mixed]
+    assert np.mean(more) > 0.9
+
+
+def test_training_lowers_the_loss():
     rng = np.random.default_rng(0)
-    f = rng.normal(size=(50, len(quality.FEATURES))).astype(np.float32)
-    owner = np.sort(rng.integers(0, 10, 50))
-    owner[:10] = np.arange(10)
-    owner.sort()
+    f = rng.integers(0, 3, (40, quality.DIMS)).astype(np.uint8)
+    owner = np.sort(np.append(np.arange(10), rng.integers(0, 10, 30)))
     labels = (np.arange(10) % 2).astype(float)
-    model = quality.train(f, owner, labels, epochs=2)
-    s = quality._forward(model.p, (f - model.mean) / model.scale, np.searchsorted(owner, np.arange(10)), np.bincount(owner))
-    assert np.allclose(np.bincount(owner, s["a"]), 1)
+    starts = np.searchsorted(owner, np.arange(10))
+    counts = np.diff(np.append(starts, len(f)))
+
+    def loss(p):
+        y = quality._forward(p, quality._roots(f).astype(float), starts, counts)["y"]
+        return -np.mean(labels * np.log(y) + (1 - labels) * np.log(1 - y))
+
+    before = quality.train(f, owner, labels, epochs=4).p
+    after = quality.train(f, owner, labels, epochs=40).p
+    assert loss(after) < 0.5 * loss(before)
