@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: candidates by prefixes of globally ordered shingle sets, and a trie that shares overlaps."""
+"""N-gram Jaccard join: prefixes of globally ordered shingle sets deal them out, tries of the whole sets find the links."""
 
 from __future__ import annotations
 
@@ -6,16 +6,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkwright.llm.components import components
 from linkwright.llm.shared import by_bytes, forget, materialize, tidy
 
-#: Documents of a bucket that one task holds in a trie, and rows that it compares by their histograms.
+#: Sets of a bucket that one trie holds, and rows of it that are compared by their histograms at once.
 TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
 #: Slots of the fixed-size table by which the second pass skips documents without a possible partner; bins of a histogram.
 SLOTS, BINS, FINE_BINS = 1 << 20, 64, 256
@@ -60,8 +58,8 @@ class Measure:
 
 
 def shingle_sets(texts: list[str | None], words: int = 4) -> list[np.ndarray]:
-    """For each whole text its distinct shingles as sorted 64-bit tokens: the bytes of its words, more first, in the
-    upper 8 bits, 56 bits of hash below. So they are in an order in which long, and so mostly rare, shingles lead. Texts of fewer words are one shingle, texts of none the empty set."""
+    """For each whole text its distinct shingles as sorted 63-bit tokens: the bytes of its words, more first, in the
+    upper 7 bits, 56 bits of hash below. So they are in an order in which long, and so mostly rare, shingles lead. Texts of fewer words are one shingle, texts of none the empty set."""
     raw = [(x or "").encode("utf-8", "replace") for x in texts]
     a = _FOLD[np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)]
     offsets = np.cumsum([0] + [len(x) + 1 for x in raw])
@@ -100,7 +98,7 @@ def shingle_sets(texts: list[str | None], words: int = 4) -> list[np.ndarray]:
 
 
 def _order(token: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return (np.uint64(255) - np.minimum(size, 255).astype(np.uint64)) << np.uint64(56) | token >> np.uint64(8)
+    return (np.uint64(127) - np.minimum(size, 127).astype(np.uint64)) << np.uint64(56) | token >> np.uint64(8)
 
 
 class Trie:
@@ -112,19 +110,20 @@ class Trie:
         self.edge, self.children, self.leaves, self.least, self.most, self.rest, self.sample, self.same = edge, {}, [], size, size, rest, sample, True
 
 
-def trie_links(ids: list[int], sets: list[np.ndarray], measure: Measure) -> list[tuple[int, int]]:
-    """Enough links between the sets to join whatever links among them join: each set probes the trie of those before it.
+def trie_links(ids: list[int], sets: list[np.ndarray], measure: Measure, components: list[int] | None = None, inserted: int | None = None) -> list[tuple[int, int]]:
+    """Enough links between the sets to join whatever links among them join, with what `components` joins already.
 
-    Ranks follow how many sets hold a token, most first, so near copies share long paths. A subtree is left as soon as
-    the overlap so far and what can remain on either side can't reach the least overlap that its sizes need, and also
-    when everything below it is already joined to the probe.
+    sets: sorted keys of the global order (ordered_sets). Paths run from its frequent end, so that sets share long
+    beginnings. Each set probes the trie of those before it and enters it; with `inserted`, the first so many only enter
+    and the others only probe. On its way a probe counts the overlap with every shared piece of path once. A subtree is left
+    as soon as the overlap so far and what can remain on either side can't reach the least overlap that its sizes need,
+    and also when everything below it is already joined to the probe.
     """
-    held, index, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(held), np.int64)
-    rank[np.lexsort((held, -count))] = np.arange(len(held))
+    held, index = np.unique(np.concatenate(sets), return_inverse=True)
     cuts = np.cumsum([len(s) for s in sets])[:-1]
-    ranked = [np.sort(r) for r in np.split(rank[index], cuts)]
-    parent = list(range(len(ids)))
+    ranked = [r[::-1] for r in np.split(len(held) - 1 - index, cuts)]
+    first: dict[int, int] = {}
+    parent = [first.setdefault(c, i) for i, c in enumerate(components)] if components else list(range(len(ids)))
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -135,7 +134,7 @@ def trie_links(ids: list[int], sets: list[np.ndarray], measure: Measure) -> list
     links, root = [], Trie(np.zeros(0, np.int64), 0, len(ranked[0]), 0)
     for i, x in enumerate(ranked):
         n = len(x)
-        stack = [(root, 0)] if i else []
+        stack = [(root, 0)] if (i if inserted is None else i >= inserted) else []
         while stack:
             node, overlap = stack.pop()
             if 100 * node.most < measure.percent * n or 100 * n < measure.percent * node.least:
@@ -158,6 +157,8 @@ def trie_links(ids: list[int], sets: list[np.ndarray], measure: Measure) -> list
                     parent[find(i)] = find(j)
                     links.append((ids[i], ids[j]))
             stack += [(c, overlap) for c in node.children.values()]
+        if inserted is not None and i >= inserted:
+            continue
         node, at = root, 0
         while True:
             node.least, node.most, node.rest = min(node.least, n), max(node.most, n), max(node.rest, n - at)
@@ -197,7 +198,7 @@ SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, m0 long
 
 
 def histogram(tokens: np.ndarray, bins: int = BINS) -> bytes:
-    """How many tokens fall in each bin, a byte each; all 255 (which bounds nothing) where one doesn't fit."""
+    """How many keys fall in each bin, a byte each; all 255 (which bounds nothing) where one doesn't fit."""
     count = np.bincount((tokens & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
     return (count if count.max(initial=0) < 256 else np.full(bins, 255)).astype(np.uint8).tobytes()
 
@@ -221,8 +222,9 @@ def common_tokens(keyed: DataFrame, measure: Measure, most: int = COMMON) -> tup
     return tokens[order], (len(tokens) - 1 - np.arange(len(tokens), dtype=np.int32))[order]
 
 
-def rare_first(sets: list[np.ndarray], common: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-    """The sets in the global order: tokens that aren't common as they are, then the common ones by rank."""
+def ordered_sets(sets: list[np.ndarray], common: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """The sets as sorted 64-bit keys, whose order is the global one: tokens that aren't common as they are, then, with
+    the highest bit, the ranks of the common ones, the most frequent last. Different tokens have different keys."""
     tokens, rank = common
     if not len(tokens) or not sets:
         return sets
@@ -230,12 +232,9 @@ def rare_first(sets: list[np.ndarray], common: tuple[np.ndarray, np.ndarray]) ->
     at = np.searchsorted(tokens, flat)
     at[at == len(tokens)] = 0
     hit = tokens[at] == flat
+    keys = np.where(hit, np.uint64(1 << 63) | rank[at].astype(np.uint64), flat)
     cuts = np.cumsum([0] + [len(s) for s in sets])
-    out = []
-    for s, a, b in zip(sets, cuts, cuts[1:], strict=False):
-        h = hit[a:b]
-        out.append(np.concatenate([s[~h], s[h][np.argsort(rank[at[a:b][h]])]]) if h.any() else s)
-    return out
+    return [np.sort(keys[a:b]) if hit[a:b].any() else keys[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def _prefixes(measure: Measure, common) -> Callable:
@@ -246,7 +245,7 @@ def _prefixes(measure: Measure, common) -> Callable:
         seen: set = set()
         for batch in batches:
             for part in _slices(batch):
-                sets = rare_first(shingle_sets(part.column("text").to_pylist(), measure.words), common.value)
+                sets = ordered_sets(shingle_sets(part.column("text").to_pylist(), measure.words), common.value)
                 m = len(sets)
                 k = np.zeros(m, np.int64)
                 for i, key in enumerate(zip(part.column("k1").to_pylist(), part.column("k2").to_pylist(), strict=True)):
@@ -263,7 +262,7 @@ def _prefixes(measure: Measure, common) -> Callable:
     return run
 
 
-def _sets(measure: Measure, slots: np.ndarray) -> Callable:
+def _sets(measure: Measure, slots: np.ndarray, common) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, ids = np.unpackbits(slots, axis=1)
         seen: set = set()
@@ -274,7 +273,7 @@ def _sets(measure: Measure, slots: np.ndarray) -> Callable:
                 wanted[i] = key not in seen
                 seen.add(key)
             for part in _slices(batch.filter(pa.array(wanted))):
-                sets = shingle_sets(part.column("text").to_pylist(), measure.words)
+                sets = ordered_sets(shingle_sets(part.column("text").to_pylist(), measure.words), common.value)
                 if not sets:
                     continue
                 least = [[int(_mix(s * salt).min().view(np.int64)) if len(s) else 0 for s in sets] for salt in _SALTS]
@@ -283,11 +282,10 @@ def _sets(measure: Measure, slots: np.ndarray) -> Callable:
     return run
 
 
-def _dealt(rows: DataFrame, key: str, block: int) -> DataFrame:
-    """Rows of keys that more than one row has, with the number of blocks of their key and their own block."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("size")).where("size > 1")
-    out = rows.join(counts, key).withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).drop("size")
-    return out.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+def _sized(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of keys that more than one row has, with that number as size. Counts are aggregated before they move, and the
+    join is one that Spark can split where a key has very many rows."""
+    return rows.join(rows.groupBy(key).agg(F.count("*").alias("size")).where("size > 1"), key)
 
 
 def _small(table: DataFrame) -> DataFrame:
@@ -295,15 +293,36 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST else table
 
 
-def _trie_group(measure: Measure) -> Callable:
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n", "rep"])
-        links = trie_links(rows.rep.tolist(), [np.frombuffer(t, np.uint64) for t in rows.tokens], measure) if len(rows) > 1 else []
-        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+def _trie_runs(measure: Measure) -> Callable:
+    """The links that the tries of (token, i, j) find; in pairs of two blocks, the one's sets probe the other's trie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_runs(batches):
+            keys = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("token", "i", "j")], 1)
+            edges = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+            links = []
+            for a, b in zip(edges, np.append(edges[1:], len(t)), strict=True):
+                own = t.slice(a, b - a)
+                _, i, j = keys[a]
+                column = {c: own.column(c).to_pylist() for c in ("rep", "block", "component", "tokens")}
+                order, inserted = list(range(b - a)), None
+                if i != j:
+                    order.sort(key=lambda k: column["block"][k])  # noqa: B023
+                    inserted = column["block"].count(int(i))
+                if b - a > 1 and inserted not in (0, b - a) and len(set(column["component"])) > 1:
+                    rep, component, tokens = ([column[c][k] for k in order] for c in ("rep", "component", "tokens"))
+                    links += trie_links(rep, [np.frombuffer(x, np.uint64) for x in tokens], measure, component, inserted)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([x for _, x in links], pa.int64())], names=["a", "b"])
 
     return run
 
 
+def _trie_join(blocks: DataFrame, sets: DataFrame, measure: Measure) -> DataFrame:
+    """a, b: what the tries link. blocks: token, pair of blocks (i, j), own block, rep, component."""
+    rows = _sorted_runs(sets.select("rep", "n", "tokens").join(_small(blocks), "rep"))
+    return rows.select("token", "i", "j", "block", "rep", "component", "tokens").mapInArrow(tidy(_trie_runs(measure)), "a long, b long")
+
+
 def _fitting(t: pa.Table, measure: Measure, alive: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of rows of the same bucket and pair of blocks whose sizes and histograms allow a link: of all buckets at
     once, rows one apart, two apart and so on. alive: marks to which the caller adds; pairs of marked rows are left out.
@@ -317,6 +336,8 @@ def _fitting(t: pa.Table, measure: Measure, alive: np.ndarray | None) -> Iterato
     open_ = bins.min(1) == 255
     left, d = np.arange(len(run)), 1
     while len(left):
+        if alive is not None:  # a bucket of marked rows only, as of copies, is done
+            left = left[np.bincount(run, ~alive, run[-1] + 1)[run[left]] > 0]
         left = left[left + d < len(run)]
         near = (run[left] == run[left + d]) & (100 * n[left] >= measure.percent * n[left + d])
         left = left[near]  # sizes rise within a bucket: what is too small for this row is for all later ones
@@ -363,38 +384,43 @@ def _alive(measure: Measure) -> Callable:
     return run
 
 
-def _pairs_of_runs(measure: Measure) -> Callable:
-    """Fitting pairs of different components."""
+def _jobs_of_runs(measure: Measure) -> Callable:
+    """What a bucket's trie must still decide: fitting pairs of different components, or where a run has more than four of
+    them a row, the rows that are in one (b is null). So what is sent grows with the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_runs(batches):
-            rep, out = t.column("rep").to_numpy(), [np.zeros((0, 2), np.int64)]
+            keys = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("token", "i", "j")], 1)
+            of = np.cumsum(np.append(False, (keys[1:] != keys[:-1]).any(1)))
+            room = 4 * np.bincount(of)
+            number, within, some = np.zeros(len(room), np.int64), np.zeros(len(t), bool), [np.zeros((2, 0), np.int64)]
             for p, q in _fitting(t, measure, None):
-                out.append(np.stack([np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q])], 1))
-            found = np.unique(np.concatenate(out), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                within[p] = within[q] = True
+                number += np.bincount(of[p], minlength=len(room))
+                few = number[of[p]] <= room[of[p]]
+                some.append(np.stack([p[few], q[few]]))
+            p, q = np.concatenate(some, 1)
+            few = number[of[p]] <= room[of[p]]
+            p, q, rest = p[few], q[few], np.flatnonzero(within & (number > room)[of])
+            rep, component = t.column("rep").to_numpy(), t.column("component").to_numpy()
+            swap = rep[p] > rep[q]
+            p, q = np.where(swap, q, p), np.where(swap, p, q)
+            a, b = np.append(p, rest), np.append(q, rest)
+            none = np.arange(len(a)) >= len(p)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[a, 0]), pa.array(rep[a]), pa.array(component[a]), pa.array(rep[b], mask=none), pa.array(component[b], mask=none)], names=["token", "a", "ca", "b", "cb"])
 
     return run
 
 
-def _in_runs(rows: DataFrame, pair_block: int, columns: list[str]) -> DataFrame:
-    """Rows (token, size of its bucket, rep, n, bins) dealt out as pairs of blocks and sorted into runs by n."""
-    dealt = rows.withColumn("blocks", F.ceil(F.col("size") / pair_block).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+def _in_runs(rows: DataFrame, most: int, columns: list[str]) -> DataFrame:
+    """Rows (token, size of its bucket, rep) dealt out as pairs of blocks of about `most`."""
+    dealt = rows.withColumn("blocks", F.ceil(F.col("size") / most).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("*", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n", "bins", *columns)
-    return dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
+    return dealt.select("*", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", *columns)
 
 
-def _verified(measure: Measure) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                good.append(len(np.intersect1d(x, y, assume_unique=True)) >= measure.need(len(x), len(y)))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
+def _sorted_runs(rows: DataFrame) -> DataFrame:
+    return rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", measure: Measure = Measure(), trie_block: int = TRIE_BLOCK, pair_block: int = PAIR_BLOCK, rounds: int = ROUNDS) -> DataFrame:
@@ -402,64 +428,76 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Exact, up to equal 63-bit tokens of different shingles. A null or empty text has no shingles and no links, and its
     component is its own id. Rows that repeat an id are one document in the links; a null id has neither links nor a
-    component. An empty table gives no rows. Only id_col and text_col are read.
+    component. Ids are integers. An empty table gives no rows. Only id_col and text_col are read.
 
     0. One pass counts tokens; the most frequent (a fixed number of them, so they can be broadcast) end the global order.
     1. One pass writes each document's size, histogram and the prefix of its ordered set. Equal texts are one class. A
        token whose prefix holders are one class can't link anything; what remains are buckets. Classes whose sizes and
        histograms, which bound the overlap from above, allow no partner in any bucket are done.
-    2. A second pass makes the sets of the others, and only of those.
-    3. A few rounds contract: classes with an equal min-hash meet in tries, then only one class of each component goes on.
-    4. The buckets that still hold different components are compared in blocks by size and histogram, and what passes is
-       verified on whole sets. So no link between components is missed.
-    Groups of copies emit at most one edge per member and round; no bucket is held whole by a task.
+    2. A second pass makes the ordered sets of the others, and only of those.
+    3. A few rounds contract groups of copies: classes with an equal min-hash meet in tries, then only one class of each
+       component goes on. (They lower the cost of the last step and may be 0.)
+    4. In each bucket that still holds different components, sizes and histograms say which classes must meet; a pair that
+       shares buckets meets in the first. Their sets are stored in the bucket's tries, whose traversal gives the links.
+    All links between different texts come from tries. Groups of copies emit at most one edge per member and round; no
+    bucket is held whole by a task.
     """
     spark = docs.sparkSession
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col} must hold integers")
     keyed = _by_texts(docs, id_col, text_col)
     common = spark.sparkContext.broadcast(common_tokens(keyed, measure))
     rows = materialize(keyed.mapInArrow(tidy(_prefixes(measure, common)), PREFIXES), "prefixes")
     table = materialize(rows.where("token IS NULL").select("doc_id", "k1", "k2", "n", "bins"), "table")
-    prefixes = rows.where("token IS NOT NULL").select("token", "k1").repartition("token").distinct()
-    by_token = W.partitionBy("token")
-    shared = prefixes.withColumns({"low": F.min("k1").over(by_token), "high": F.max("k1").over(by_token), "size": F.count("*").over(by_token)}).where("low <> high")
-    buckets = materialize(shared.select("token", "k1", F.col("size").cast("int").alias("size")), "buckets")
+    prefixes = rows.where("token IS NOT NULL").select("token", "k1")
+    shared = prefixes.groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high").select("token")
+    buckets = materialize(prefixes.join(shared, "token", "left_semi").distinct(), "buckets")
     forget(rows)
     reps = table.where("n > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bins").alias("bins"))
     reps = materialize(reps, "reps")
-    fitting = materialize(_in_runs(buckets.join(reps.drop("k2"), "k1"), pair_block, []).mapInArrow(tidy(_alive(measure)), "rep long").distinct(), "fitting")
+    met = _sorted_runs(_in_runs(_sized(buckets, "token").join(reps.drop("k2"), "k1"), pair_block, ["n", "bins"]))
+    fitting = materialize(met.mapInArrow(tidy(_alive(measure)), "rep long").distinct(), "fitting")
     live = materialize(reps.join(fitting, "rep", "left_semi").select("rep", "n", "k1", "k2"), "live")
+    forget(fitting)
     named = materialize(buckets.join(live.select("k1", "rep", "n"), "k1").select("token", "rep", "n"), "named")
     forget(buckets)
     slots = np.zeros((2, SLOTS), bool)
     for i, c in enumerate(("k1", "rep")):
         slots[i, [r.s for r in live.select(F.pmod(c, F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
     mine = live.select("rep", F.col("k1").alias("l1"), F.col("k2").alias("l2"))
-    sets = keyed.mapInArrow(tidy(_sets(measure, np.packbits(slots, axis=1))), SETS).join(_small(mine), F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
+    sets = keyed.mapInArrow(tidy(_sets(measure, np.packbits(slots, axis=1), common)), SETS).join(_small(mine), F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
     sets = materialize(sets, "sets")
 
     twice = table.where("n > 0").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
     edges = materialize(twice, "links")
     found = components(edges)
-    for k in range(rounds):
-        rest = sets.select("rep", "k1", F.col(f"m{k}").alias("m")).join(found.where("node <> component"), F.col("rep") == F.col("node"), "left_anti")
-        dealt = _small(materialize(_dealt(rest, "m", trie_block).select("rep", "k1", "m", "block"), "dealt"))
-        new = sets.select("rep", "k1", "n", "tokens").join(dealt, ["rep", "k1"]).groupBy("m", "block").applyInPandas(_trie_group(measure), "a long, b long")
-        edges = materialize(edges.unionByName(new), "links")
+
+    def link(jobs: DataFrame) -> None:
+        """Add what the tries of each token's sets link, a large token's dealt out as pairs of blocks."""
+        nonlocal edges, found
+        blocks = materialize(_in_runs(_sized(jobs, "token"), trie_block, ["component"]), "blocks")
+        before, edges = edges, materialize(edges.unionByName(_trie_join(blocks, sets, measure)), "links")
+        forget(before)
+        forget(blocks)
         found = components(edges)
-    named = named.join(_small(found), F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    mixed = named.withColumns({"low": F.min("component").over(by_token), "high": F.max("component").over(by_token), "size": F.count("*").over(by_token)}).where("low <> high").drop("low", "high")
-    mixed = mixed.join(sets.select("rep", "bins"), "rep")
-    pairs = _in_runs(mixed, pair_block, ["component"]).mapInArrow(tidy(_pairs_of_runs(measure)), "a long, b long").distinct()
-    pairs = materialize(pairs, "pairs")
-    both = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    few = sets.select("rep", "tokens").join(_small(materialize(both, "ids")), "rep", "left_semi")
-    whole = pairs.join(few.select(F.col("rep").alias("a"), F.col("tokens").alias("x")), "a").join(few.select(F.col("rep").alias("b"), F.col("tokens").alias("y")), "b")
-    edges = materialize(edges.unionByName(whole.select("a", "b", "x", "y").mapInArrow(tidy(_verified(measure)), "a long, b long")), "links")
-    found = components(edges)
-    forget(sets)
+
+    for k in range(rounds):
+        rest = sets.select("rep", F.col(f"m{k}").alias("token")).join(found.where("node <> component"), F.col("rep") == F.col("node"), "left_anti")
+        link(rest.select("token", "rep", F.col("rep").alias("component")))
+    by_component = named.join(_small(found), F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    mixed = by_component.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
+    mixed = by_component.join(mixed.select("token", "size"), "token").join(sets.select("rep", "bins"), "rep")
+    met = _sorted_runs(_in_runs(mixed, pair_block, ["component", "n", "bins"]))
+    open_ = materialize(met.mapInArrow(tidy(_jobs_of_runs(measure)), "token long, a long, ca long, b long, cb long"), "open")
+    pairs = open_.where("b IS NOT NULL").groupBy("a", "b").agg(F.min(F.struct("token", "ca", "cb")).alias("x"))
+    ends = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("x.ca").alias("component")), F.struct(F.col("b").alias("rep"), F.col("x.cb").alias("component")))).alias("e")
+    jobs = pairs.select(F.col("x.token").alias("token"), ends).select("token", "e.rep", "e.component").unionByName(open_.where("b IS NULL").select("token", F.col("a").alias("rep"), F.col("ca").alias("component"))).distinct()
+    link(jobs)
+    for x in (sets, open_, live, named):
+        forget(x)
     out = table.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(found, F.col("rep") == F.col("node"), "left")
-    linked = F.when(F.col("n") > 0, F.coalesce("component", "rep"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce(linked, "doc_id")).alias("component_id"))
+    own = F.when(F.col("n") > 0, F.coalesce("component", "rep"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce(own, "doc_id")).alias("component_id"))
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,7 +64,7 @@ def test_against_brute_force(spark):
     rows = corpus()
     want, plain = brute(rows), dict(rows)
     df = spark.createDataFrame([(i, t, 1, 2, "c") for i, t in rows], "doc_id long, text string, n int, k1 int, component string").repartition(5)
-    for options in ({}, {"trie_block": 8, "pair_block": 6}, {"rounds": 0, "pair_block": 9}):
+    for options in ({}, {"trie_block": 8, "pair_block": 6}, {"rounds": 0, "trie_block": 5, "pair_block": 9}):
         got = jaccard.near_duplicates(df, **options).collect()
         assert {r.doc_id: r.component_id for r in got} == want
         assert all(r.n_shingles == len(brute_set(plain[r.doc_id])) for r in got) and len(got) == len(rows)
@@ -97,3 +97,36 @@ def test_trie_joins_what_links_join(sets, percent):
         assert 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
         mine = join(mine, i, j)
     assert mine == comp and len(links) < len(sets)
+
+
+@given(st.lists(st.tuples(st.sets(st.integers(0, 20), min_size=1), st.integers(0, 9)), min_size=3, max_size=14), st.integers(1, 13))
+@settings(max_examples=150, deadline=None)
+def test_trie_of_one_block_probed_by_another(rows, inserted):
+    """With what is joined already, the pairs across the two blocks come out, and none of one component."""
+    inserted = min(inserted, len(rows) - 1)
+    measure, sets = Measure(percent=60), [s for s, _ in rows]
+    got = jaccard.trie_links(list(range(len(rows))), [np.array(sorted(s), np.uint64) for s in sets], measure, [c for _, c in rows], inserted)
+
+    def joined(links):
+        comp = [c for _, c in rows]
+        for i, j in links:
+            x, y = sorted((comp[i], comp[j]))
+            comp = [x if v == y else v for v in comp]
+        return comp
+
+    want = [(i, j) for i in range(inserted) for j in range(inserted, len(rows)) if 100 * len(sets[i] & sets[j]) >= 60 * len(sets[i] | sets[j])]
+    assert joined(got) == joined(want) and all((j, i) in want for i, j in got)
+    assert all(rows[i][1] != rows[j][1] for i, j in got)
+
+
+def test_global_order_is_one_to_one():
+    rng = np.random.default_rng(1)
+    sets = jaccard.shingle_sets([t for _, t in corpus(2)])
+    tokens = np.unique(np.concatenate(sets))
+    common = np.sort(rng.choice(tokens, 200, replace=False))
+    rank = rng.permutation(200).astype(np.int32)
+    keys = jaccard.ordered_sets(sets, (common, rank))
+    order = {int(t): (1, int(k)) for t, k in zip(common, rank, strict=True)}
+    for s, k in zip(sets, keys, strict=True):
+        assert len(np.unique(k)) == len(s) and (np.diff(k.astype(object)) > 0).all()
+        assert [int(t) for t in sorted(s, key=lambda t: order.get(int(t), (0, int(t))))] == [int(t) if t < 1 << 63 else int(common[rank == t - np.uint64(1 << 63)][0]) for t in k]
