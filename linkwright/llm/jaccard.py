@@ -21,14 +21,13 @@ SLOTS, BINS, FINE_BINS = 1 << 20, 64, 256
 COMMON, REPORTED = 400_000, 2
 #: Rows up to which a table of ids is broadcast (about 8 MB).
 BROADCAST = 200_000
-ROUNDS = 3
+ROUNDS = 1
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(11)
 _BYTES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = np.uint64(int(_RANDOM.integers(1, 2**62)) * 2 + 1)
 _PLACES = _RANDOM.integers(1, 2**62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SALTS = _RANDOM.integers(1, 2**62, ROUNDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
@@ -194,7 +193,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 PREFIXES = "doc_id long, k1 long, k2 int, n int, bins binary, token long"
-SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, m0 long, m1 long, m2 long"
+SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, least array<long>"
 
 
 def histogram(tokens: np.ndarray, bins: int = BINS) -> bytes:
@@ -262,7 +261,9 @@ def _prefixes(measure: Measure, common) -> Callable:
     return run
 
 
-def _sets(measure: Measure, slots: np.ndarray, common) -> Callable:
+def _sets(measure: Measure, slots: np.ndarray, common, rounds: int) -> Callable:
+    salts = np.random.default_rng(12).integers(1, 2**62, rounds, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, ids = np.unpackbits(slots, axis=1)
         seen: set = set()
@@ -276,8 +277,8 @@ def _sets(measure: Measure, slots: np.ndarray, common) -> Callable:
                 sets = ordered_sets(shingle_sets(part.column("text").to_pylist(), measure.words), common.value)
                 if not sets:
                     continue
-                least = [[int(_mix(s * salt).min().view(np.int64)) if len(s) else 0 for s in sets] for salt in _SALTS]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([histogram(s, FINE_BINS) for s in sets], pa.binary()), *[pa.array(m, pa.int64()) for m in least]], names=[c.split()[0] for c in SETS.split(", ")])
+                least = [[int(_mix(s * salt).min().view(np.int64)) if len(s) else 0 for salt in salts] for s in sets]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([histogram(s, FINE_BINS) for s in sets], pa.binary()), pa.array(least, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
 
     return run
 
@@ -465,7 +466,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     for i, c in enumerate(("k1", "rep")):
         slots[i, [r.s for r in live.select(F.pmod(c, F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
     mine = live.select("rep", F.col("k1").alias("l1"), F.col("k2").alias("l2"))
-    sets = keyed.mapInArrow(tidy(_sets(measure, np.packbits(slots, axis=1), common)), SETS).join(_small(mine), F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
+    sets = keyed.mapInArrow(tidy(_sets(measure, np.packbits(slots, axis=1), common, rounds)), SETS).join(_small(mine), F.col("doc_id") == F.col("rep")).where("k1 = l1 AND k2 = l2").drop("doc_id", "k2", "l1", "l2")
     sets = materialize(sets, "sets")
 
     twice = table.where("n > 0").join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
@@ -482,7 +483,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         found = components(edges)
 
     for k in range(rounds):
-        rest = sets.select("rep", F.col(f"m{k}").alias("token")).join(found.where("node <> component"), F.col("rep") == F.col("node"), "left_anti")
+        rest = sets.select("rep", F.col("least")[k].alias("token")).join(found.where("node <> component"), F.col("rep") == F.col("node"), "left_anti")
         link(rest.select("token", "rep", F.col("rep").alias("component")))
     by_component = named.join(_small(found), F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
     mixed = by_component.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")

@@ -64,7 +64,7 @@ def test_against_brute_force(spark):
     rows = corpus()
     want, plain = brute(rows), dict(rows)
     df = spark.createDataFrame([(i, t, 1, 2, "c") for i, t in rows], "doc_id long, text string, n int, k1 int, component string").repartition(5)
-    for options in ({}, {"trie_block": 8, "pair_block": 6}, {"rounds": 0, "trie_block": 5, "pair_block": 9}):
+    for options in ({}, {"trie_block": 8, "pair_block": 6, "rounds": 2}, {"rounds": 0, "trie_block": 5, "pair_block": 9}):
         got = jaccard.near_duplicates(df, **options).collect()
         assert {r.doc_id: r.component_id for r in got} == want
         assert all(r.n_shingles == len(brute_set(plain[r.doc_id])) for r in got) and len(got) == len(rows)
