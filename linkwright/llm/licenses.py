@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -116,68 +116,83 @@ class Scanner:
         return max(float(present[t].mean()) for t in self.templates[family])
 
 
-def train(background: list[str], *, copies: int = 40, steps: int = 300, seed: int = 0) -> Scanner:
-    """Fit on templates with words dropped, replaced and set among background words; decoys and the background itself are
-    the unknown class. The temperature is fit on examples kept apart. Deterministic; only its own examples' n-grams of
-    templates and decoys are features."""
+def train(background: Mapping[str, int], *, copies: int = 40, steps: int = 300, seed: int = 0) -> Scanner:
+    """Fit on templates with words dropped and set among background words (given with their counts, which are the odds
+    of a draw); decoys and the background itself are the unknown class. The temperature is fit on examples kept apart.
+    Deterministic, and sparse: an example is its known n-grams; only those of templates and decoys are features."""
     rng = np.random.default_rng(seed)
-    pool = [w for t in background for w in t.split()[:400]] or ["and"]
+    words = sorted(background) or ["and"]
+    upto = np.cumsum([background.get(w, 1) for w in words])
     examples: list[tuple[str, int]] = []
 
+    def drawn(k: int) -> list[str]:
+        return [words[i] for i in np.searchsorted(upto, rng.integers(0, upto[-1], k), "right")]
+
     def around(text: str) -> str:
         k = int(rng.integers(0, 30))
-        parts = rng.choice(pool, k).tolist()
+        parts = drawn(k)
         cut = int(rng.integers(0, k + 1))
         return " ".join([*parts[:cut], text, *parts[cut:]])
 
     for f, name in enumerate(TEMPLATES):
         for sentence in TEMPLATES[name]:
             for c in range(copies):
-                words = [w for w in sentence.split() if c == 0 or rng.random() > 0.06]
-                examples.append((around(" ".join(words)) if c else sentence, f))
+                left = [w for w in sentence.split() if c == 0 or rng.random() > 0.06]
+                examples.append((around(" ".join(left)) if c else sentence, f))
     none = len(TEMPLATES)
-    notice = [w for s in TEMPLATES.values() for x in s for w in x.split()]
+    notice = np.array([w for s in TEMPLATES.values() for x in s for w in x.split()])
     examples += [(around(d), none) for d in DECOYS for _ in range(copies)]
-    examples += [(" ".join(rng.choice(pool, int(rng.integers(3, PARAGRAPH)))), none) for _ in range(copies * 10)]
+    examples += [(" ".join(drawn(int(rng.integers(3, PARAGRAPH)))), none) for _ in range(copies * 10)]
     examples += [(around(" ".join(rng.choice(notice, int(rng.integers(1, 8))))), none) for _ in range(copies * 10)]
     shown = [s.encode() for name in TEMPLATES for s in TEMPLATES[name]] + [d.encode() for d in DECOYS]
-    words, line, _ = hash_words(shown)
-    grams, whole = _ngrams(words, line)
+    hashes, line, _ = hash_words(shown)
+    grams, whole = _ngrams(hashes, line)
     scanner = Scanner(np.unique(grams[whole]), np.zeros((0, 0)), 1.0, ())
-    words, line, begin = hash_words([e.encode() for e, _ in examples])
-    x = np.zeros((len(examples), len(scanner.vocabulary) + 1), np.float32)
-    at, gram = scanner.features(words, line)
-    x[np.searchsorted(begin, at, "right") - 1, gram] = 1
-    x[:, -1] = 1
-    y = np.eye(len(FAMILIES), dtype=np.float32)[[f for _, f in examples]]
+    hashes, line, begin = hash_words([e.encode() for e, _ in examples])
+    at, gram = scanner.features(hashes, line)
+    size = len(scanner.vocabulary)
+    pairs = np.unique((np.searchsorted(begin, at, "right") - 1) * (size + 1) + gram)
+    pairs = np.union1d(pairs, np.arange(len(examples)) * (size + 1) + size)  # the constant
+    row, column = pairs // (size + 1), pairs % (size + 1)
+    y = np.eye(len(FAMILIES))[[f for _, f in examples]]
     kept = rng.random(len(examples)) < 0.8
-    w, v = np.zeros((x.shape[1], len(FAMILIES)), np.float32), np.float32(0)
+    begins = np.searchsorted(row, np.arange(len(examples)))
+    by_gram = np.argsort(column, kind="stable")
+    runs = np.searchsorted(column[by_gram], np.arange(size + 1))
+    seen = np.bincount(column, minlength=size + 1)[:, None] > 0
+
+    def scores(w: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(w[column], begins)
+
+    w, v = np.zeros((size + 1, len(FAMILIES))), 0.0
     for _ in range(steps):
-        z = x[kept] @ w
+        z = scores(w)
         e = np.exp(z - z.max(1, keepdims=True))
-        v = 0.9 * v - 0.1 * (x[kept].T @ (e / e.sum(1, keepdims=True) - y[kept]) / kept.sum() + 1e-5 * w)
+        off = (e / e.sum(1, keepdims=True) - y) * kept[:, None] / kept.sum()
+        v = 0.9 * v - 0.1 * (np.add.reduceat(off[row[by_gram]], np.minimum(runs, len(row) - 1)) * seen + 1e-5 * w)
         w = w + v
-    z = x[~kept] @ w
+    z = scores(w)[~kept]
     loss = lambda t: float((np.log(np.exp((z - z.max(1, keepdims=True)) / t).sum(1)) - ((z - z.max(1, keepdims=True)) * y[~kept]).sum(1) / t).mean())
     temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
     templates = []
     for name in TEMPLATES:
         own = []
         for s in TEMPLATES[name]:
-            words, line, _ = hash_words([s.encode()])
-            grams, whole = _ngrams(words, line)
+            hashes, line, _ = hash_words([s.encode()])
+            grams, whole = _ngrams(hashes, line)
             own.append(np.searchsorted(scanner.vocabulary, np.unique(grams[2][whole[2]])))
         templates.append(tuple(own))
     return Scanner(scanner.vocabulary, w, temperature, tuple(templates))
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 400) -> Scanner:
-    """A scanner whose background is a bounded sample of docs: the `sample` texts with the smallest hashes, and of
-    each its first 4000 characters. (Scanning reads whole texts.)"""
+def fit(docs: DataFrame, *, text_col: str = "text", sample: int = 400, words: int = 20_000) -> Scanner:
+    """A scanner whose background is a bounded sample of docs: the whole texts with the `sample` smallest hashes, of whose
+    words the `words` most frequent come to the driver with their counts. (Scanning reads all texts.)"""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     picked = docs.select(F.xxhash64(text).alias("h")).distinct().orderBy("h").limit(sample)  # no texts go to the driver here
-    rows = docs.select(F.xxhash64(text).alias("h"), F.substring(text, 1, 4000).alias("t")).join(F.broadcast(picked), "h", "left_semi").groupBy("h").agg(F.min("t").alias("t")).collect()
-    return train([r.t for r in sorted(rows, key=lambda r: r.h)])
+    each = docs.select(F.xxhash64(text).alias("h"), text.alias("t")).join(F.broadcast(picked), "h", "left_semi").distinct()
+    counts = each.select(F.explode(F.split("t", r"\s+")).alias("w")).where("w <> ''").groupBy("w").agg(F.count("*").alias("n"))
+    return train({r.w: r.n for r in counts.orderBy(F.desc("n"), "w").limit(words).collect()})
 
 
 def paragraphs(line: np.ndarray, begin: np.ndarray) -> np.ndarray:

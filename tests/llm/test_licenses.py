@@ -1,5 +1,8 @@
 """License scans: held-out accuracy on notices in noise, template confirmation, decoys, edge cases."""
 
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -8,7 +11,7 @@ from linkwright.llm import licenses
 
 @pytest.fixture(scope="module")
 def scanner():
-    return licenses.train(["the river went by an old mill and then under some trees near the hill"] * 5)
+    return licenses.train(Counter("the river went by an old mill and then under some trees near the hill".split()))
 
 
 def test_finds_notices_and_leaves_text_alone(spark, scanner):
@@ -75,3 +78,52 @@ def test_unknown_is_calibrated(scanner):
     p = scanner.probabilities(present)
     assert abs(p[:, -1].mean() - (p.argmax(1) == len(licenses.TEMPLATES)).mean()) < 0.2
     assert sum(scanner.likeness(int(x.argmax()), q) >= 0.6 for x, q in zip(p, present, strict=True) if x.argmax() < len(licenses.TEMPLATES)) == 0
+
+
+def test_against_plain_ngrams(spark, scanner):
+    """Mutated, wrapped notices, one a document: found where, and only where, plain loops over word n-grams say so."""
+    from linkwright.llm.words import hash_words
+
+    def number(gram):
+        """Place of an n-gram in the vocabulary, or None."""
+        h = licenses._ngrams(hash_words([" ".join(gram).encode()])[0], np.zeros(len(gram), int))[0][len(gram) - 1, 0]
+        k = int(np.searchsorted(scanner.vocabulary, h))
+        return k if k < len(scanner.vocabulary) and scanner.vocabulary[k] == h else None
+
+    def plain(text):
+        words = [w[:-1] if len(w) > 1 and w.endswith(".") else w for w in re.findall(r"[0-9a-z+.\-\u0080-\U0010ffff]+", text.lower())]
+        families = set()
+        for name, sentences in licenses.TEMPLATES.items():
+            for s in sentences:
+                own = [w[:-1] if len(w) > 1 and w.endswith(".") else w for w in re.findall(r"[0-9a-z+.\-]+", s.lower())]
+                grams = {tuple(own[i : i + 3]) for i in range(len(own) - 2)}
+                best = (0, 0, 0, 0)
+                for a in range(len(words)):
+                    seen, last = set(), a
+                    for i in range(a, min(len(words) - 2, a + len(grams) + 8)):
+                        if tuple(words[i : i + 3]) in grams - seen:
+                            seen.add(tuple(words[i : i + 3]))
+                            last = i
+                    best = max(best, (len(seen), a - last, a, last + 3))
+                if best[0] < (0.6 - 1e-9) * len(grams):
+                    continue
+                known = {number(words[i : i + n]) for n in (1, 2, 3) for i in range(best[2], best[3]) if i + n <= len(words)} - {None}
+                z = (sum(scanner.weights[k] for k in known) + scanner.weights[-1]) / scanner.temperature
+                p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+                if licenses.FAMILIES[p.argmax()] == name and p.max() >= 0.5:
+                    families.add(name)
+        return families
+
+    rng = np.random.default_rng(8)
+    texts = []
+    for sentences in licenses.TEMPLATES.values():
+        for s in sentences:
+            for drop in (0.0, 0.05, 0.1, 0.2, 0.35):
+                words = [w for w in s.split() if rng.random() >= drop]
+                around = rng.choice(["river", "mill", "trees", "hill"], 12).tolist()
+                joined = around[:6] + words + around[6:]
+                texts.append("".join(w + ("\n" if rng.random() < 0.15 else " ") for w in joined))
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), scanner).collect()
+    want = [plain(t) for t in texts]
+    assert [set(f.family for f in r.licenses) for r in sorted(got, key=lambda r: r.doc_id)] == want
+    assert 0.5 * len(want) < sum(map(bool, want)) < len(want)
