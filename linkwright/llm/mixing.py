@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +85,8 @@ class Rates:
     start: float
     most: float
     steps: list[np.ndarray] = field(default_factory=list)
+    expected: np.ndarray | None = None
+    targets: np.ndarray | None = None
 
     def of(self, p: np.ndarray) -> np.ndarray:
         r = np.full(len(p), min(self.start, self.most))
@@ -106,7 +109,8 @@ def membership(docs: DataFrame, classifier: Classifier, *, id_col: str = "doc_id
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, *, most: float = float("inf"), rounds: int = 40, tolerance: float = 1e-4) -> Rates:
-    """Rates in [0, most] with the least weighted squared distance of the domains' expected token totals from targets.
+    """Rates in [0, most] with the least weighted squared distance of the domains' expected token totals from targets, and
+    in `expected` and `targets` what they reach. Targets that no rates reach within tolerance after `rounds` are warned of.
 
     Each round is one pass over members that sums tokens * rate * posterior; a task sends one row. The projection is each
     document's own clipping. A step is the gradient in the metric of the Gram matrix of the documents that can still move;
@@ -140,11 +144,14 @@ def fit_rates(members: DataFrame, targets: np.ndarray, *, most: float = float("i
         now, gram = passed(rates)
         miss = float(np.abs(now - targets).max())
         if best is None or miss < best[0]:
-            best = (miss, rates)
+            best = (miss, replace(rates, expected=now, targets=targets))
         if miss <= tolerance * max(targets.sum(), 1):
             break
         weight, last = (inverse(gram) if miss < last and np.trace(gram) > 0 else whole), miss
         rates = Rates(rates.start, most, [*rates.steps, weight @ (now - targets)])
+    if best[0] > tolerance * max(targets.sum(), 1):
+        off = "; ".join(f"{n:.0f} of {t:.0f} tokens" for n, t in zip(best[1].expected, targets, strict=True))
+        warnings.warn(f"targets out of reach, by domain: {off}", stacklevel=2)
     return best[1]
 
 
@@ -190,7 +197,10 @@ def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *,
     for r in have:
         held[r.d] = r.s
     rates = fit_rates(members, np.where(absent, held, np.minimum(share * held.sum(), held)), most=1.0)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__rate", T.DoubleType())])
+    rate = "__rate"
+    while rate.lower() in (c.lower() for c in docs.columns):
+        rate += "_"
+    schema = T.StructType([*docs.schema.fields, T.StructField(rate, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +211,7 @@ def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *,
 
     rated = docs.mapInArrow(tidy(run), schema)
     draw = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return rated.where(draw < F.col("__rate")).drop("__rate")
+    return rated.where(draw < F.col(rate)).drop(rate)
 
 
 #: The production mix: shares of the languages.
