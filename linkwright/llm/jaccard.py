@@ -16,12 +16,14 @@ from linkwright.llm.shared import by_bytes, forget, materialize, tidy
 #: Sets of a bucket that one trie holds, and rows of it that are compared by their histograms at once.
 TRIE_BLOCK, PAIR_BLOCK = 1024, 2048
 #: Slots of the fixed-size table by which the second pass skips documents without a possible partner; bins of a histogram.
-SLOTS, BINS, FINE_BINS = 1 << 20, 64, 256
+SLOTS, BINS, FINE_BINS = 1 << 20, 64, 128
 #: Most frequent tokens that go to the end of the global order, and how often a task must meet one in a slice to report it.
 COMMON, REPORTED = 400_000, 2
 #: Rows up to which a table of ids is broadcast (about 8 MB).
 BROADCAST = 200_000
 ROUNDS = 1
+#: Pairs a row that a bucket may send before it sends its rows instead.
+ROOM = 64
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(11)
@@ -193,7 +195,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 PREFIXES = "doc_id long, k1 long, k2 int, n int, bins binary, token long"
-SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, least array<long>"
+SETS = "doc_id long, k1 long, k2 int, n int, tokens binary, bins binary, sketch binary, least array<long>"
 
 
 def histogram(tokens: np.ndarray, bins: int = BINS) -> bytes:
@@ -202,6 +204,19 @@ def histogram(tokens: np.ndarray, bins: int = BINS) -> bytes:
     return (count if count.max(initial=0) < 256 else np.full(bins, 255)).astype(np.uint8).tobytes()
 
 
+def sketch_bins(n: int) -> int:
+    """Bins of a histogram as fine as the set is large: four to eight keys a bin, so a byte for some 50 of the set's."""
+    return max(BINS, 1 << max(0, (n // 4).bit_length() - 1))
+
+
+def at_most(x: np.ndarray, y: np.ndarray) -> int:
+    """What two sets with these sketches can share at the most."""
+    if 255 in (x.max(), y.max()):
+        return 1 << 62
+    x, y = (x.astype(np.int64), y.astype(np.int64)) if len(x) <= len(y) else (y.astype(np.int64), x.astype(np.int64))
+    return int(np.minimum(x, y.reshape(-1, len(x)).sum(0)).sum())
+
+
 def common_tokens(keyed: DataFrame, measure: Measure, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
     """The (at most `most`) most frequent tokens, sorted, and the rank of each, the rarest first. Every document is
     counted; a slice reports only tokens that REPORTED of its documents have. This decides the order of the sets and so
@@ -278,7 +293,7 @@ def _sets(measure: Measure, slots: np.ndarray, common, rounds: int) -> Callable:
                 if not sets:
                     continue
                 least = [[int(_mix(s * salt).min().view(np.int64)) if len(s) else 0 for salt in salts] for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([histogram(s, FINE_BINS) for s in sets], pa.binary()), pa.array(least, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([histogram(s, FINE_BINS) for s in sets], pa.binary()), pa.array([histogram(s, sketch_bins(len(s))) for s in sets], pa.binary()), pa.array(least, pa.list_(pa.int64()))], names=[c.split()[0] for c in SETS.split(", ")])
 
     return run
 
@@ -386,14 +401,15 @@ def _alive(measure: Measure) -> Callable:
 
 
 def _jobs_of_runs(measure: Measure) -> Callable:
-    """What a bucket's trie must still decide: fitting pairs of different components, or where a run has more than four of
-    them a row, the rows that are in one (b is null). So what is sent grows with the rows."""
+    """What a bucket's trie must still decide: fitting pairs of different components, or where a run has more than
+    ROOM of them a row, the rows that are in one (b is null). So what is sent grows with the rows; a set is some ROOM times
+    as large as a pair, and a pair goes to one trie only, whereas such a row goes to each bucket's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_runs(batches):
             keys = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("token", "i", "j")], 1)
             of = np.cumsum(np.append(False, (keys[1:] != keys[:-1]).any(1)))
-            room = 4 * np.bincount(of)
+            room = ROOM * np.bincount(of)
             number, within, some = np.zeros(len(room), np.int64), np.zeros(len(t), bool), [np.zeros((2, 0), np.int64)]
             for p, q in _fitting(t, measure, None):
                 within[p] = within[q] = True
@@ -413,6 +429,16 @@ def _jobs_of_runs(measure: Measure) -> Callable:
     return run
 
 
+def _sketched(measure: Measure) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n = batch.column("na").to_pylist(), batch.column("nb").to_pylist()
+            fits = [at_most(np.frombuffer(x.as_py(), np.uint8), np.frombuffer(y.as_py(), np.uint8)) >= measure.need(m[i], n[i]) for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"), strict=True))]
+            yield batch.select(["a", "ca", "b", "cb", "token"]).filter(pa.array(fits, pa.bool_()))
+
+    return run
+
+
 def _in_runs(rows: DataFrame, most: int, columns: list[str]) -> DataFrame:
     """Rows (token, size of its bucket, rep) dealt out as pairs of blocks of about `most`."""
     dealt = rows.withColumn("blocks", F.ceil(F.col("size") / most).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
@@ -439,7 +465,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     3. A few rounds contract groups of copies: classes with an equal min-hash meet in tries, then only one class of each
        component goes on. (They lower the cost of the last step and may be 0.)
     4. In each bucket that still holds different components, sizes and histograms say which classes must meet; a pair that
-       shares buckets meets in the first. Their sets are stored in the bucket's tries, whose traversal gives the links.
+       shares buckets meets in the first, unless finer histograms rule it out. Their sets are stored in the bucket's tries, whose traversal gives the links.
     All links between different texts come from tries. Groups of copies emit at most one edge per member and round; no
     bucket is held whole by a task.
     """
@@ -490,9 +516,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     mixed = by_component.join(mixed.select("token", "size"), "token").join(sets.select("rep", "bins"), "rep")
     met = _sorted_runs(_in_runs(mixed, pair_block, ["component", "n", "bins"]))
     open_ = materialize(met.mapInArrow(tidy(_jobs_of_runs(measure)), "token long, a long, ca long, b long, cb long"), "open")
-    pairs = open_.where("b IS NOT NULL").groupBy("a", "b").agg(F.min(F.struct("token", "ca", "cb")).alias("x"))
-    ends = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("x.ca").alias("component")), F.struct(F.col("b").alias("rep"), F.col("x.cb").alias("component")))).alias("e")
-    jobs = pairs.select(F.col("x.token").alias("token"), ends).select("token", "e.rep", "e.component").unionByName(open_.where("b IS NULL").select("token", F.col("a").alias("rep"), F.col("ca").alias("component"))).distinct()
+    pairs = open_.where("b IS NOT NULL").groupBy("a", "b").agg(F.min(F.struct("token", "ca", "cb")).alias("x")).select("a", "x.ca", "b", "x.cb", "x.token")
+    for c in "ab":
+        pairs = pairs.join(sets.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")), c)
+    pairs = pairs.mapInArrow(tidy(_sketched(measure)), "a long, ca long, b long, cb long, token long")
+    ends = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("ca").alias("component")), F.struct(F.col("b").alias("rep"), F.col("cb").alias("component")))).alias("e")
+    jobs = pairs.select("token", ends).select("token", "e.rep", "e.component").unionByName(open_.where("b IS NULL").select("token", F.col("a").alias("rep"), F.col("ca").alias("component"))).distinct()
     link(jobs)
     for x in (sets, open_, live, named):
         forget(x)

@@ -130,3 +130,13 @@ def test_global_order_is_one_to_one():
     for s, k in zip(sets, keys, strict=True):
         assert len(np.unique(k)) == len(s) and (np.diff(k.astype(object)) > 0).all()
         assert [int(t) for t in sorted(s, key=lambda t: order.get(int(t), (0, int(t))))] == [int(t) if t < 1 << 63 else int(common[rank == t - np.uint64(1 << 63)][0]) for t in k]
+
+
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=900), st.sets(st.integers(0, 2**64 - 1), max_size=900), st.integers(0, 900))
+@settings(max_examples=100, deadline=None)
+def test_sketches_bound_the_overlap(a, b, shared):
+    b = b | set(sorted(a)[:shared])
+    if b:
+        x, y = (np.frombuffer(jaccard.histogram(np.array(sorted(s), np.uint64), jaccard.sketch_bins(len(s))), np.uint8) for s in (a, b))
+        assert len(a & b) <= jaccard.at_most(x, y) == jaccard.at_most(y, x)
+    assert jaccard.at_most(np.full(64, 255, np.uint8), np.zeros(128, np.uint8)) > 1 << 60
