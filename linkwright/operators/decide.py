@@ -180,4 +180,7 @@ def filter_and_assign(scored: DataFrame, rules: Rules = Rules(), rounds: int = 1
         taken = cut(now if taken is None else taken.unionByName(now), "taken")
         full = taken.groupBy("s1_id", source.alias("src")).agg(F.count("*").alias("used")).where(F.col("used") >= rules.per_source)
         left = cut(left.join(taken.select("cand_id").distinct(), "cand_id", "left_anti").withColumn("src", source).join(full, ["s1_id", "src"], "left_anti").select("s1_id", "cand_id", "p"), "left")
+    else:
+        if left.limit(1).count():
+            raise RuntimeError(f"the assignment did not settle in {rounds} rounds")
     return taken if taken is not None else left.limit(0)

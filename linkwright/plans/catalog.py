@@ -13,14 +13,14 @@ from linkwright.functions.vocab import ADDRESS_STOPWORDS, LEGAL, PHONETIC, mine_
 from linkwright.operators import baselines, blocking, context, decide, features, graph, metrics, pools, profile, split, validate
 from linkwright.operators.blocking import CHANNELS, Caps
 from linkwright.plans import fixtures as X
-from linkwright.plans.resolve import candidates, resolve
+from linkwright.plans.resolve import candidates, competing, resolve
 from linkwright.sources import io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-#: Caps small enough to bind on the driver's tables.
-SMALL = Caps(per_key=5, total=12, narrow=4, pair=3, anchor=2)
+#: The production caps; tests/test_engine.py has caps that bind.
+PRODUCTION = Caps()
 
 
 def query(sql: str | None = None):
@@ -44,8 +44,8 @@ _E, _N, _TRUTH, _SCORED, _LABELS = X.SQL_PART, X.SQL_PART, X.SQL_TRUTH, X.SQL_SC
 _E_CUST = """e AS (SELECT 'S1-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS entity_id, c_name AS business_name, c_mktsegment AS business_address, n_name AS country
   FROM customer JOIN nation ON c_nationkey = n_nationkey
   UNION ALL SELECT 'S2-' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0'), s_name, '', n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
-_E_DOCS = """w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r]+'), lambda x: x <> '') AS w FROM documents),
-e AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS entity_id, array_to_string(w[1:6], ' ') AS business_name, array_to_string(w[7:18], ' ') AS business_address, lang AS country FROM w)"""
+_E_DOCS = """w AS (SELECT doc_id, lang, coalesce(text, '') AS t, strpos(coalesce(text, ''), chr(10)) AS i FROM documents),
+e AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS entity_id, CASE WHEN i = 0 THEN t ELSE substr(t, 1, CAST(i - 1 AS BIGINT)) END AS business_name, CASE WHEN i = 0 THEN '' ELSE substr(t, CAST(i + 1 AS BIGINT)) END AS business_address, lang AS country FROM w)"""
 
 
 @query(f"WITH {_N} SELECT entity_id, name_norm, array_to_string(list_transform(toks, lambda t: coalesce({_LEGAL_SQL}[t], t)), ' ') = name_norm AS plain, name_sorted AS name_tokens_sorted, false AS name_is_degenerate FROM n")
@@ -223,28 +223,28 @@ for _ch in "ABCDEGIJK":
 
     def _channel(spark, sf, ch=_ch):
         a, b = X.sides(X.e_part(spark, sf))
-        return blocking.candidates_by_channel(a, b, ch, SMALL).select("s1_id", "cand_id", "list_rank")
+        return blocking.candidates_by_channel(a, b, ch, PRODUCTION).select("s1_id", "cand_id", "list_rank")
 
     _channel.__name__ = f"channel_{_ch.lower()}"
-    query(f"WITH {channel_cte(_ch, SMALL)} SELECT s1_id, cand_id, rk AS list_rank FROM chans")(_channel)
+    query(f"WITH {channel_cte(_ch, PRODUCTION)} SELECT s1_id, cand_id, rk AS list_rank FROM chans")(_channel)
 
 for _ch in "HLMN":
 
-    def _channel_docs(spark, sf, ch=_ch):
-        a, b = X.sides(X.e_docs(spark, sf))
-        return blocking.candidates_by_channel(a, b, ch, SMALL).select("s1_id", "cand_id", "list_rank")
+    def _channel_business(spark, sf, ch=_ch):
+        a, b = X.sides(X.e_business(spark, sf))
+        return blocking.candidates_by_channel(a, b, ch, PRODUCTION).select("s1_id", "cand_id", "list_rank")
 
-    _channel_docs.__name__ = f"channel_{_ch.lower()}"
-    query()(_channel_docs)
+    _channel_business.__name__ = f"channel_{_ch.lower()}"
+    query()(_channel_business)
 
-_MIX = "ACEJ"
+_MIX = "ABCDEGIJK"
 _STORE = "store AS (SELECT s1_id, cand_id, bit_or(CAST(1 AS BIGINT) << ch) AS channel_mask, CAST(count(DISTINCT ch) AS INTEGER) AS channel_count, min(ch) AS first_channel FROM chans GROUP BY 1, 2)"
-_STORED = f"{channel_cte(_MIX, SMALL)}, {_STORE}"
+_STORED = f"{channel_cte(_MIX, PRODUCTION)}, {_STORE}"
 
 
 def _store(spark, sf):
     a, b = X.sides(X.e_part(spark, sf))
-    return blocking.store(blocking.candidates_by_channel(a, b, _MIX, SMALL))
+    return blocking.store(blocking.candidates_by_channel(a, b, _MIX, PRODUCTION))
 
 
 @query(f"WITH {_STORED} SELECT s1_id, cand_id, channel_mask, channel_count FROM store")
@@ -270,7 +270,7 @@ def store_exclusive(spark, sf):
     return blocking.channel_exclusive(_store(spark, sf), "E").select("s1_id", "cand_id")
 
 
-@query(f"WITH {channel_cte(_MIX, SMALL)} SELECT a.ch AS channel_i, b.ch AS channel_j, count(*) AS pairs FROM chans a JOIN chans b ON a.s1_id = b.s1_id AND a.cand_id = b.cand_id GROUP BY 1, 2")
+@query(f"WITH {channel_cte(_MIX, PRODUCTION)} SELECT a.ch AS channel_i, b.ch AS channel_j, count(*) AS pairs FROM chans a JOIN chans b ON a.s1_id = b.s1_id AND a.cand_id = b.cand_id GROUP BY 1, 2")
 def store_overlap(spark, sf):
     return blocking.channel_overlap(_store(spark, sf))
 
@@ -719,14 +719,22 @@ def decide_strategies(spark, sf):
 
 @query()
 def candidates_capped(spark, sf):
-    a, b = X.sides(X.e_docs(spark, sf))
+    a, b = X.sides(X.e_business(spark, sf))
     return candidates(a, b).select("s1_id", "cand_id", "channel_mask", F.col("channel_count").cast("int").alias("channel_count"), "rank")
 
 
 @query()
-def resolve_documents(spark, sf):
-    e = X.e_docs(spark, sf)
-    return resolve(e.where("entity_id LIKE 'S1%'"), e.where("entity_id NOT LIKE 'S1%'"))
+def resolve_businesses(spark, sf):
+    """The whole resolver with its second stage, on rule-of-thumb scores (a trained model takes their place)."""
+    e = X.e_business(spark, sf)
+    return resolve(e.where("entity_id LIKE 'S1%'"), e.where("entity_id NOT LIKE 'S1%'"), rescorer=competing)
+
+
+@query()
+def resolve_businesses_by_rules(spark, sf):
+    """The resolver that decides by threshold, vetoes from the records' own flags, and one owner a candidate."""
+    e = X.e_business(spark, sf)
+    return resolve(e.where("entity_id LIKE 'S1%'"), e.where("entity_id NOT LIKE 'S1%'"), decider=None, rules=decide.Rules(threshold=0.5, country_veto=True, number_veto=True, unique=True))
 
 
 @query(f"WITH {_N}, {_UNIVERSE}, m AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM s1 a JOIN pool b ON a.name_norm = b.name_norm AND a.country_norm = b.country_norm) SELECT u.s1_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids FROM u LEFT JOIN m ON m.s1_id = u.s1_id GROUP BY 1")

@@ -18,9 +18,34 @@ def e_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def e_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    w = F.filter(F.split(F.coalesce("text", F.lit("")), r"[ \t\n\r]+"), lambda t: t != "")
-    return d.select(_tag("doc_id").alias("entity_id"), F.array_join(F.slice(w, 1, 6), " ").alias("business_name"), F.array_join(F.slice(w, 7, 12), " ").alias("business_address"), F.col("lang").alias("country"))
+    """Whole texts: the first line is the name, all the rest the address."""
+    d, t = spark.read.parquet(f"{sf_dir}/documents.parquet"), F.coalesce("text", F.lit(""))
+    at = F.instr(t, "\n")
+    name, rest = F.when(at == 0, t).otherwise(F.substring(t, F.lit(1), at - 1)), F.when(at == 0, "").otherwise(F.substring(t, at + 1, F.length(t)))
+    return d.select(_tag("doc_id").alias("entity_id"), name.alias("business_name"), rest.alias("business_address"), F.col("lang").alias("country"))
+
+
+def e_business(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Businesses made of all customers' keys: three in a row are one business as three sources write it, with accents,
+    legal forms, dotted abbreviations, other scripts, landmarks, postal codes and several names of a country."""
+    c, k = spark.read.parquet(f"{sf_dir}/customer.parquet"), F.col("c_custkey")
+    g = F.floor(k / 3).cast("int")
+    pick = lambda words, n: F.element_at(F.array(*map(F.lit, words)), (n % len(words) + 1).cast("int"))
+    by = lambda *three: F.element_at(F.array(*three), (k % 3 + 1).cast("int"))
+    first = by(pick(FIRST, g), pick(FIRST, g), pick(PLAIN, g))
+    own = F.lower(F.hex((g * 7919 % 65521).cast("long")))
+    second, form = pick(("Trading", "Foods", "Steel", "Textiles", "Logistics", "Pharma", "Motors"), F.floor(g / 8)), by(F.lit("Ltd"), F.lit("Limited"), F.lit("L.L.C."))
+    name = F.when(g % 97 == 0, by(F.lit("Заря "), F.lit("Zarya "), F.lit("Zaria "))).otherwise("")
+    street = F.concat(((g * 13) % 400 + 1).cast("string"), F.lit(" "), pick(("Main", "Mill", "Garden", "Station", "River", "Château", "Gandhi"), F.floor(g / 5)), by(F.lit(" St."), F.lit(" Street"), F.lit(" St")))
+    mark = F.when(g % 4 == 0, F.concat(F.lit(", "), pick(("near", "opp", "behind"), g), F.lit(" "), pick(("City Mall", "Old Temple", "Central Bank"), F.floor(g / 4)))).otherwise("")
+    code = F.when((g % 3 == 0) & (k % 3 == 1), "").otherwise(F.concat(F.lit(" "), (10000 + g % 80000).cast("string")))
+    land = F.when(g % 3 == 0, by(F.lit("US"), F.lit("USA"), F.lit("United States"))).when(g % 3 == 1, by(F.lit("IN"), F.lit("India"), F.lit("IND"))).otherwise(by(F.lit("FR"), F.lit("France"), F.lit("FRA")))
+    return c.select(_tag("c_custkey").alias("entity_id"), F.concat_ws(" ", F.concat(name, first), second, own, form).alias("business_name"), F.concat(street, mark, code).alias("business_address"), land.alias("country"))
+
+
+#: First words of businesses' names, and the same without accents.
+FIRST = ("Société Générale", "Müller", "Acme", "Blue River", "Nordic", "Sri Krishna", "García Hermanos", "Northern Light")
+PLAIN = ("Societe Generale", "Muller", "Acme", "Blue River", "Nordic", "Shri Krishna", "Garcia Hermanos", "Northern Light")
 
 
 def e_cust(spark: SparkSession, sf_dir: str) -> DataFrame:
