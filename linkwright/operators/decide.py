@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkwright.operators.graph import clusters, cut
 
@@ -49,14 +51,42 @@ def expected_f05(selected: np.ndarray, rest: np.ndarray) -> float:
     return float((np.where(mass > 1e-12, mass, 0) * value).sum())
 
 
+def best_prefixes(p: np.ndarray) -> np.ndarray:
+    """For each row of likelihoods (rows fall, all of one length) how many to return; the fewest among equals. The
+    distributions of all prefixes and suffixes are built once, each from the one before."""
+    n, m = p.shape
+    q = np.clip(p, 0, 1)
+    grow = lambda a, x: np.pad(a * (1 - x), ((0, 0), (0, 1))) + np.pad(a * x, ((0, 0), (1, 0)))
+    heads, tails = [np.ones((n, 1))], [np.ones((n, 1))]
+    for i in range(m):
+        heads.append(grow(heads[-1], q[:, i : i + 1]))
+        tails.append(grow(tails[-1], q[:, m - 1 - i : m - i]))
+    best, most = np.zeros(n, dtype=np.int64), np.prod(1 - q, axis=1)
+    for k in range(1, m + 1):
+        tp, fn = np.arange(k + 1)[:, None], np.arange(m - k + 1)[None, :]
+        worth = (1 + BETA2) * tp / ((1 + BETA2) * tp + BETA2 * fn + (k - tp))
+        mass = heads[k][:, :, None] * tails[m - k][:, None, :]
+        value = (np.where(mass > 1e-12, mass, 0) * worth).sum(axis=(1, 2))
+        more = value > most + 1e-12  # sums in another order differ by less
+        best[more], most[more] = k, value[more]
+    return best
+
+
 def best_prefix(p: np.ndarray) -> int:
     """How many of the likeliest candidates to return; the fewest among equals. p falls."""
-    best, most = 0, expected_f05(p[:0], p)
-    for k in range(1, len(p) + 1):
-        value = expected_f05(p[:k], p[k:])
-        if value > most:
-            best, most = k, value
-    return best
+    return int(best_prefixes(np.asarray(p, dtype=float)[None, :])[0])
+
+
+@F.pandas_udf(T.IntegerType())
+def best_prefix_column(p: pd.Series) -> pd.Series:
+    """best_prefix of array<double> columns; rows of one length together, at most 4096 at a time."""
+    out, lengths = np.zeros(len(p), dtype=np.int32), p.map(len).to_numpy()
+    for m in np.unique(lengths[lengths > 0]):
+        at = np.flatnonzero(lengths == m)
+        for i in range(0, len(at), 4096):
+            part = at[i : i + 4096]
+            out[part] = best_prefixes(np.stack(p.iloc[part].to_list()))
+    return pd.Series(out)
 
 
 @dataclass(frozen=True)
@@ -73,16 +103,11 @@ def shortlist(scored: DataFrame, floor: float, most: int) -> DataFrame:
 
 
 def select_matches(scored: DataFrame, floor: float = 0.01, most: int = 20) -> DataFrame:
-    """s1_id, cand_id, p of each entity's best prefix. Floor and shortlist run before the rows reach Python, as one array
-    of at most `most` numbers per entity."""
+    """s1_id, cand_id, p of each entity's best prefix. Floor and shortlist run first; Python gets one array of at most
+    `most` numbers per entity and returns a length, ids stay on the JVM's side."""
     short = shortlist(scored, floor, most).groupBy("s1_id").agg(F.array_sort(F.collect_list(F.struct("rank", "cand_id", "p"))).alias("c"))
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(s, x["cand_id"], x["p"]) for s, c in zip(f.s1_id, f.c, strict=True) for x in c[: best_prefix(np.array([x["p"] for x in c]))]]
-            yield pd.DataFrame(rows, columns=["s1_id", "cand_id", "p"])
-
-    return short.mapInPandas(run, "s1_id string, cand_id string, p double")
+    best = short.select("s1_id", "c", best_prefix_column(F.transform("c", lambda x: x["p"].cast("double"))).alias("k"))
+    return best.select("s1_id", F.explode(F.slice("c", F.lit(1), F.col("k"))).alias("x")).select("s1_id", "x.cand_id", "x.p")
 
 
 def conflicts(selected: DataFrame, margin: float = 0.05) -> DataFrame:
@@ -116,12 +141,14 @@ def decide(scored: DataFrame, how: Decider = Decider()) -> DataFrame:
         taken: dict[str, str] = {}
         held = {c: s for s, c, h in zip(frame.s1_id, frame.cand_id, frame.held, strict=True) if h}
         out = []
-        for s, own in frame.sort_values(["s1_id", "rank"]).groupby("s1_id", sort=True):
-            own = own[[taken.get(c, s) == s and held.get(c, s) == s for c in own.cand_id]]
-            for c in [c for c, t in held.items() if t == s]:
-                del held[c]  # what it holds is up again
-            k = best_prefix(own.p.to_numpy())
-            for c, p in zip(own.cand_id[:k], own.p[:k], strict=True):
+        f = frame.sort_values(["s1_id", "rank"])
+        for s, rows in groupby(zip(f.s1_id, f.cand_id, f.p, strict=True), itemgetter(0)):
+            rows = list(rows)
+            own = [(c, p) for _, c, p in rows if taken.get(c, s) == s and held.get(c, s) == s]
+            for _, c, _ in rows:
+                if held.get(c) == s:
+                    del held[c]  # what it holds is up again
+            for c, p in own[: best_prefix(np.array([p for _, p in own]))]:
                 taken[c] = s
                 out.append((s, c, p))
         return pd.DataFrame(out, columns=["s1_id", "cand_id", "p"])
