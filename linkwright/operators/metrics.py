@@ -96,6 +96,22 @@ def h1_gate(truth: DataFrame) -> DataFrame:
     return own.groupBy(F.substring("cand_id", 1, 2).alias("source")).agg(F.count("*").alias("ids"), F.count_if(F.col("owners") > 1).alias("violations"), F.max("owners").alias("most_owners")).withColumn("rate", F.col("violations") / F.col("ids")).withColumn("holds", F.col("violations") == 0)
 
 
+def h1_report(truth: DataFrame, examples: int = 10) -> DataFrame:
+    """The gate's report: source (S2, S3, all), ids, single, violations, rate, the least `examples` violating ids
+    (comma-joined), and whether conflicts are resolved and the one-owner invariant is enforced: both if no id at all has two
+    owners. Ids of other sources count among all violations, but not among the ids."""
+    own = truth.select("s1_id", "cand_id").distinct().groupBy("cand_id").agg((F.count("*") > 1).alias("multi"))
+    known = F.col("cand_id").rlike("^S[23]-")
+    f = own.select("cand_id", "multi", known.alias("known"), F.explode(F.array(F.lit("all"), F.when(known, F.substring("cand_id", 1, 2)))).alias("source")).where("source IS NOT NULL")
+    counts = f.groupBy("source").agg(F.count_if("known").alias("ids"), F.count_if(F.col("known") & ~F.col("multi")).alias("single"), F.count_if("multi").alias("violations"))
+    first = f.where("multi").withColumn("nth", F.row_number().over(W.partitionBy("source").orderBy("cand_id"))).where(F.col("nth") <= examples).groupBy("source").agg(F.array_join(F.array_sort(F.collect_list("cand_id")), ",").alias("examples"))
+    holds = own.agg((F.count_if("multi") == 0).alias("holds"))
+    every = truth.sparkSession.createDataFrame([("S2",), ("S3",), ("all",)], "source string")
+    g = every.join(F.broadcast(counts), "source", "left").join(F.broadcast(first), "source", "left").join(F.broadcast(holds)).fillna(0, ["ids", "single", "violations"]).fillna("", ["examples"])
+    rate = F.when(F.col("ids") > 0, F.col("violations") / F.col("ids")).otherwise(0.0)
+    return g.select("source", "ids", "single", "violations", rate.alias("rate"), "examples", F.col("holds").alias("conflict_resolution_enabled"), F.col("holds").alias("invariant_enforced"))
+
+
 def ece(scored: DataFrame, bins: int = 10) -> DataFrame:
     """ece of (p, y) over equal bins, the last one closed."""
     b = F.least(F.floor(F.col("p") * bins), F.lit(bins - 1))
@@ -138,6 +154,16 @@ def threshold_sweep(scored: DataFrame, truth: DataFrame, universe: DataFrame, th
     return every.groupBy(F.col("g.threshold").alias("threshold"), F.col("g.cap").alias("cap")).agg(F.avg(score).alias("macro_f05"))
 
 
+#: The thresholds that a search tries: 0.10, 0.15, ... 0.95.
+GRID = [round(0.05 * i, 2) for i in range(2, 20)]
+
+
+def best_threshold(scored: DataFrame, truth: DataFrame, universe: DataFrame, thresholds: list[float] = GRID, caps: list[int] = [1]) -> DataFrame:
+    """threshold, cap, macro_f05 of the best point of the sweep; the lowest threshold, then cap, among equals."""
+    sweep = threshold_sweep(scored, truth, universe, thresholds, caps)
+    return sweep.orderBy(F.desc(F.round("macro_f05", 12)), "threshold", "cap").limit(1)
+
+
 def hard_negatives(features: DataFrame) -> DataFrame:
     """Counts of wrong pairs by what makes them hard; features with label, from pair_features()."""
     wrong = F.col("label") == 0

@@ -65,6 +65,11 @@ def norm_country(spark, sf):
     return X.e_cust(spark, sf).select("entity_id", N.normalize_country(F.col("country")).alias("country_norm"))
 
 
+@query(f"WITH {_E_CUST} SELECT entity_id, business_name FROM e WHERE lower(trim(country)) = 'nation_2'")
+def pool_country_cohort(spark, sf):
+    return pools.country_cohort(N.normalize(X.e_cust(spark, sf)), "nation_2").select("entity_id", "business_name")
+
+
 def _phonetic_sql(x: str) -> str:
     x = f"lower({x})"
     for words, to in PHONETIC:
@@ -252,6 +257,11 @@ def store_provenance(spark, sf):
     return _store(spark, sf).select("s1_id", "cand_id", "channel_mask", F.col("channel_count").cast("int").alias("channel_count"))
 
 
+@query(f"WITH {_STORED} SELECT s1_id, cand_id FROM store WHERE channel_mask > 0")
+def contract_provenance(spark, sf):
+    return validate.with_provenance(_store(spark, sf)).select("s1_id", "cand_id")
+
+
 _CAPPED = "capped AS (SELECT *, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY channel_count DESC, first_channel, cand_id) AS INTEGER) AS rank FROM store QUALIFY rank <= 8)"
 
 
@@ -505,6 +515,19 @@ def threshold_sweep(spark, sf):
     return rounded(metrics.threshold_sweep(X.part_scored(spark, sf), X.part_truth(spark, sf), _universe(spark, sf), [0.5, 0.7, 0.9], [1, 2]))
 
 
+@query("SELECT * FROM (" + ORACLE_SQL["threshold_sweep"].replace("(VALUES (0.5), (0.7), (0.9))", f"(VALUES {', '.join(f'({t})' for t in metrics.GRID)})").replace("(VALUES (1), (2))", "(VALUES (1))") + ") AS sweep ORDER BY macro_f05 DESC, threshold LIMIT 1")
+def threshold_search(spark, sf):
+    return rounded(metrics.best_threshold(X.part_scored(spark, sf), X.part_truth(spark, sf), _universe(spark, sf)))
+
+
+_H1_IN = "regexp_matches(cand_id, '^S[23]-') AND (source = 'all' OR starts_with(cand_id, source || '-'))"
+
+
+@query(f"WITH {_SCORED}, o AS (SELECT cand_id, count(DISTINCT s1_id) AS k FROM scored WHERE p >= 0.7 GROUP BY 1), v AS (SELECT * FROM (VALUES ('S2'), ('S3'), ('all')) AS t(source)), c AS (SELECT source, count(*) FILTER ({_H1_IN}) AS ids, count(*) FILTER ({_H1_IN} AND k = 1) AS single, count(*) FILTER (k > 1 AND (source = 'all' OR {_H1_IN})) AS violations, coalesce(array_to_string(list_sort(list(cand_id) FILTER (k > 1 AND (source = 'all' OR {_H1_IN})))[1:10], ','), '') AS examples FROM v, o GROUP BY 1) SELECT source, ids, single, violations, round(coalesce(violations / nullif(ids, 0), 0.0), 6) AS rate, examples, (SELECT max(k) = 1 FROM o) AS conflict_resolution_enabled, (SELECT max(k) = 1 FROM o) AS invariant_enforced FROM c")
+def h1_report(spark, sf):
+    return rounded(metrics.h1_report(X.part_scored(spark, sf).where("p >= 0.7")))
+
+
 @query(f"WITH {_LABELS}, b AS (SELECT least(CAST(floor(p * 10) AS INTEGER), 9) AS b, count(*) AS n, avg(p) AS p, avg(y) AS y FROM ls GROUP BY 1) SELECT round(sum(n * abs(p - y)) / sum(n), 6) AS ece FROM b")
 def calibration_ece(spark, sf):
     return rounded(metrics.ece(X.label_scores(spark, sf)))

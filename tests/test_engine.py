@@ -270,3 +270,26 @@ def test_resolve_and_stream(spark, tmp_path):
     s1.coalesce(1).write.mode("append").parquet(inbox)
     run()
     assert finished(spark, out).count() == 6 and finished(spark, out).select("batch").distinct().count() == 2
+
+
+def test_best_prefixes_of_many_rows():
+    rng = np.random.default_rng(3)
+    p = -np.sort(-np.round(rng.random((200, 9)), 1), axis=1)  # ties
+    want = [max(range(10), key=lambda k: (round(decide.expected_f05(x[:k], x[k:]), 12), -k)) for x in p]
+    assert decide.best_prefixes(p).tolist() == want and decide.best_prefixes(np.zeros((2, 0))).tolist() == [0, 0]
+
+
+def test_gate_search_and_provenance(spark):
+    links = spark.createDataFrame([("S1-1", "S2-1"), ("S1-2", "S2-1"), ("S1-1", "S2-2"), ("S1-1", "X-1"), ("S1-2", "X-1")], "s1_id string, cand_id string")
+    got = {r.source: r for r in metrics.h1_report(links).collect()}
+    assert (got["S2"].ids, got["S2"].single, got["S2"].violations, got["S2"].examples) == (2, 1, 1, "S2-1")
+    assert (got["S3"].ids, got["S3"].rate, got["S3"].examples) == (0, 0.0, "") and (got["all"].ids, got["all"].violations, got["all"].rate) == (2, 2, 1.0)
+    assert not got["S3"].conflict_resolution_enabled
+    assert all(r.ids == 0 and r.invariant_enforced for r in metrics.h1_report(links.limit(0)).collect())
+    scored = links.limit(1).withColumn("p", F.lit(0.5))
+    best = metrics.best_threshold(scored, links.limit(1), links.select("s1_id").limit(1)).collect()
+    assert [(r.threshold, r.macro_f05) for r in best] == [(0.1, 1.0)]  # the first of those that are equal
+    cands = spark.createDataFrame([("S1-1", "S2-1", 5), ("S1-2", "S2-1", 0), ("S1-3", "S2-1", None)], "s1_id string, cand_id string, channel_mask long")
+    assert validate.with_provenance(cands.limit(1)).count() == 1
+    with pytest.raises(Exception, match="no provenance"):
+        validate.with_provenance(cands).collect()
