@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: the session's spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder every executor sees: the session's spark.checkpoint.dir, or a local one where that is
+    unset and the master is local."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not where:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         where = "file:///tmp/checkpoints"
         sc.setCheckpointDir(where)
     return where.rstrip("/")
