@@ -4,20 +4,25 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again, so that loops keep short plans and lost executors cost nothing."""
-    spark = df.sparkSession
+def folder(spark: SparkSession) -> str:
+    """The folder that all executors share; a local one only where none is set and the master is local."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not where:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         where = "file:///tmp/checkpoints"
-    path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return where.rstrip("/")
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again, so that loops keep short plans and lost executors cost nothing."""
+    spark = df.sparkSession
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_at = path

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,13 @@ from pyspark.sql import functions as F
 
 from linkwright.functions import fuzzy
 from linkwright.functions import normalize as N
-from linkwright.functions.vocab import ADDRESS_STOPWORDS, LEGAL, PHONETIC, mine_countries
-from linkwright.operators import baselines, blocking, context, decide, features, graph, metrics, pools, profile, split, validate
+from linkwright.functions.vocab import ADDRESS_STOPWORDS, LEGAL, PHONETIC, PHONETIC_DIAGNOSTIC_OMITS, Vocabulary, load, mine_countries, save
+from linkwright.operators import baselines, blocking, context, decide, features, graph, metrics, model, pools, profile, split, validate
 from linkwright.operators.blocking import CHANNELS, Caps
 from linkwright.plans import fixtures as X
 from linkwright.plans.resolve import candidates, competing, resolve
 from linkwright.sources import io
+from linkwright.streaming import chunks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -70,9 +72,9 @@ def pool_country_cohort(spark, sf):
     return pools.country_cohort(N.normalize(X.e_cust(spark, sf)), "nation_2").select("entity_id", "business_name")
 
 
-def _phonetic_sql(x: str) -> str:
+def _phonetic_sql(x: str, omit: tuple[str, ...] = ()) -> str:
     x = f"lower({x})"
-    for words, to in PHONETIC:
+    for words, to in (r for r in PHONETIC if r[1] not in omit):
         x = f"regexp_replace({x}, '\\b(?:{words})\\b', '{to}', 'g')"
     for c in "abcdefghijklmnopqrstuvwxyz":
         x = f"regexp_replace({x}, '{c}+', '{c}', 'g')"
@@ -84,6 +86,11 @@ def norm_phonetic(spark, sf):
     return N.normalize(X.e_part(spark, sf)).select("entity_id", N.phonetic(F.col("name_norm")).alias("phonetic"))
 
 
+@query(f"WITH {_N} SELECT entity_id, {_phonetic_sql('name_norm', PHONETIC_DIAGNOSTIC_OMITS)} AS phonetic FROM n")
+def norm_phonetic_diagnostic_parts(spark, sf):
+    return N.normalize(X.e_part(spark, sf)).select("entity_id", N.phonetic_diagnostic(F.col("name_norm")).alias("phonetic"))
+
+
 @query()
 def norm_phonetic_diagnostic(spark, sf):
     return N.normalize(X.e_docs(spark, sf)).select("entity_id", N.phonetic_diagnostic(F.col("name_norm")).alias("phonetic"))
@@ -548,6 +555,37 @@ def calibration_ranking(spark, sf):
     return rounded(metrics.ranking(X.label_scores(spark, sf)))
 
 
+#: Isotonic regression in closed form: the greatest over beginnings of the least mean over ends.
+_ISOTONIC = """g AS (SELECT p, CAST(sum(y) AS DOUBLE) AS pos, count(*) AS n FROM ls GROUP BY 1),
+r AS (SELECT p, row_number() OVER o AS i, sum(pos) OVER o AS up, sum(n) OVER o AS seen, pos, n FROM g WINDOW o AS (ORDER BY p)),
+m AS (SELECT a.i AS a, b.i AS b, (b.up - a.up + a.pos) / (b.seen - a.seen + a.n) AS mean FROM r a JOIN r b ON a.i <= b.i),
+least_after AS (SELECT x.a, k.i, min(x.mean) AS v FROM m x JOIN r k ON x.a <= k.i AND x.b >= k.i GROUP BY 1, 2),
+iso AS (SELECT k.p, max(v) AS calibrated FROM least_after JOIN r k USING (i) GROUP BY 1)"""
+
+
+@query(f"WITH {_LABELS}, {_ISOTONIC} SELECT doc_id, round(calibrated, 6) AS calibrated FROM ls JOIN iso USING (p)")
+def calibrate_isotonic(spark, sf):
+    s = X.label_scores(spark, sf)
+    c = model.Calibrator("isotonic").fit(s)
+    return rounded(s.select("doc_id", c.apply(F.col("p")).alias("calibrated")))
+
+
+_LOSSES = _R(('avg(pow(p - y, 2))', 'brier'), ('-avg(y * ln(q) + (1 - y) * ln(1 - q))', 'log_loss'))
+
+
+@query(f"WITH {_LABELS}, {_ISOTONIC}, f AS (SELECT 'before' AS w, p, y FROM ls UNION ALL SELECT 'after', calibrated, y FROM ls JOIN iso USING (p)), c AS (SELECT *, least(greatest(p, 1e-15), 1 - 1e-15) AS q FROM f) SELECT w AS \"when\", {_LOSSES} FROM c GROUP BY 1")
+def calibration_evaluate(spark, sf):
+    s = X.label_scores(spark, sf)
+    return rounded(model.Calibrator("isotonic").fit(s).evaluate(s).select("when", "brier", "log_loss"))
+
+
+@query()
+def calibration_transfer(spark, sf):
+    """Calibrators of the documents with odd ids and of all, compared on those with even ids."""
+    s = X.label_scores(spark, sf)
+    return rounded(model.transfer_audit(s.where("doc_id % 2 = 1"), s.where("doc_id % 2 = 0"), s, "isotonic"))
+
+
 @query(f"WITH {_N}, {_TRUTH}, {_SCORED}, {_PRED}, cand AS (SELECT s1_id, cand_id FROM scored), w AS (SELECT s1_id, cand_id, 'fp' AS kind FROM pred WHERE (s1_id, cand_id) NOT IN (SELECT (s1_id, cand_id) FROM truth) UNION ALL SELECT DISTINCT s1_id, cand_id, 'fn' FROM truth WHERE (s1_id, cand_id) NOT IN (SELECT (s1_id, cand_id) FROM pred)), s AS (SELECT name_norm, count(*) AS k FROM pool GROUP BY 1), x AS (SELECT w.*, a.name_norm AS an, b.name_norm AS bn, a.addr_norm AS aa, b.addr_norm AS ba, regexp_extract_all(a.addr_norm, '\\b\\d+[a-zA-Z]?\\b') AS ax, regexp_extract_all(b.addr_norm, '\\b\\d+[a-zA-Z]?\\b') AS bx, s.k, (w.s1_id, w.cand_id) IN (SELECT (s1_id, cand_id) FROM cand) AS seen FROM w JOIN n a ON a.entity_id = w.s1_id JOIN n b ON b.entity_id = w.cand_id LEFT JOIN s ON s.name_norm = b.name_norm) SELECT s1_id, cand_id, kind, CASE WHEN kind = 'fp' THEN CASE WHEN an = bn AND len(ax) > 0 AND len(bx) > 0 AND len(list_intersect(ax, bx)) = 0 THEN 'franchise' WHEN an = bn AND k >= 3 THEN 'common_name' WHEN aa = ba AND aa <> '' THEN 'address_collision' ELSE 'other' END ELSE CASE WHEN NOT seen THEN 'blocking' WHEN aa = '' OR ba = '' THEN 'missing_address' WHEN length(an) <= 4 OR length(bn) <= 4 THEN 'short_name' WHEN len(list_intersect(string_split(an, ' '), string_split(bn, ' '))) = 0 THEN 'dba' ELSE 'other' END END AS category FROM x")
 def error_taxonomy(spark, sf):
     a, b = X.sides(X.e_part(spark, sf))
@@ -632,7 +670,7 @@ def split_simple(spark, sf):
     return split.simple(_universe(spark, sf), {"train": 0.7, "test": 0.3})
 
 
-@query()
+@query(f"SELECT partition, count(*) AS entities, count(*) FILTER (cardinality = '0') AS singletons, CASE partition WHEN 'train' THEN 0.6::DOUBLE WHEN 'test' THEN 0.1::DOUBLE ELSE 0.15::DOUBLE END AS target, round(count(*) / sum(count(*)) OVER (), 6) AS actual FROM ({ORACLE_SQL['split_stratified']}) GROUP BY 1")
 def split_stats(spark, sf):
     return rounded(split.partition_stats(split_stratified(spark, sf), _RATIOS))
 
@@ -668,17 +706,108 @@ def sink_forced_superset(spark, sf):
     return io.with_matches(X.part_scored(spark, sf).where("p >= 0.9"), X.part_truth(spark, sf))
 
 
+def _new_path(spark: SparkSession, name: str) -> str:
+    return f"{graph.folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query(f"WITH {_SCORED} SELECT s1_id, cand_id, p FROM scored")
 def round_trip_scored(spark, sf):
-    from linkwright.operators.graph import cut  # noqa: F401
-    import uuid
-
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints"
-    path = f"{where.rstrip('/')}/scored-{uuid.uuid4().hex}"
+    path = _new_path(spark, "scored")
     io.write_scored(X.part_scored(spark, sf), path)
     return io.read_scored(spark, path)
 
 
+_WIDE = "wide AS (SELECT u.s1_id, coalesce(string_agg(DISTINCT cand_id, ',' ORDER BY cand_id), '') AS ids FROM u LEFT JOIN truth t ON t.s1_id = u.s1_id GROUP BY 1)"
+
+
+@query(f"WITH {_N} SELECT entity_id, business_name, business_address, country FROM e WHERE entity_id LIKE 'S1%'")
+def scan_entities(spark, sf):
+    """Entities written as a gzipped TSV, scanned and checked."""
+    path = _new_path(spark, "entities")
+    io.write_tsv(_s1(spark, sf), path, compress=True)
+    return io.read_entities(spark, path, "S1")
+
+
+def _truth_file(spark, sf) -> str:
+    path = _new_path(spark, "truth")
+    io.write_tsv(io.widen(_universe(spark, sf), X.part_truth(spark, sf)), path)
+    return path
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_UNIVERSE}, {_WIDE} SELECT s1_id AS source1_entity_id, ids AS matched_entity_ids FROM wide")
+def scan_truth(spark, sf):
+    return io.read_truth(spark, _truth_file(spark, sf))
+
+
+@query(f"WITH {_N}, {_TRUTH}, {_UNIVERSE}, {_WIDE} SELECT s1_id, ids FROM wide")
+def scan_lines(spark, sf):
+    return io.read_lines(spark, _truth_file(spark, sf))
+
+
+_MANIFESTS = ("parquet", "json", "csv", "tsv", "tsv.gz")
+
+
+@query(f"SELECT f.format, m.s1_id, m.partition, CASE WHEN f.format = 'parquet' THEN 42 END AS seed FROM ({ORACLE_SQL['split_simple']}) m CROSS JOIN (VALUES {', '.join(f"('{x}')" for x in _MANIFESTS)}) AS f(format)")
+def round_trip_manifest(spark, sf):
+    """A split written and read in each manifest format, with the seed from the metadata where a format has any."""
+    parts, out = graph.cut(split_simple(spark, sf), "split"), None
+    for x in _MANIFESTS:
+        path = f"{_new_path(spark, 'manifest')}.{x}"
+        io.write_manifest(parts, path, {"seed": 42})
+        seed = io.read_meta(spark, path)["seed"] if x == "parquet" else None
+        one = io.read_manifest(spark, path).select(F.lit(x).alias("format"), "s1_id", "partition", F.lit(seed).cast("int").alias("seed"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"SELECT to_json(g) AS json FROM ({ORACLE_SQL['profile_name_overlaps']}) g")
+def report_json(spark, sf):
+    return io.report(profile_name_overlaps(spark, sf).select("sources", "names"))
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('legal', '{k}', '{v}')" for k, v in sorted(LEGAL.items())) + ", ('own', 'acme', 'ac'), ('landmark', 'mast', '')) AS t(kind, key, value)")
+def vocabulary_files(spark, sf):
+    """A vocabulary saved and loaded again: the default legal forms, and an abbreviation and a landmark of one's own."""
+    path = _new_path(spark, "vocabulary")
+    save(spark, Vocabulary(abbreviations={"acme": "ac"}, landmarks=("mast",)), path)
+    v = load(spark, path)
+    rows = [("legal", *x) for x in v.legal.items()] + [("own", *x) for x in v.abbreviations.items()] + [("landmark", x, "") for x in v.landmarks]
+    return spark.createDataFrame(rows, "kind string, key string, value string")
+
+
+@query(f"WITH {_N}, {_UNIVERSE} SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM s1 a JOIN pool b ON a.name_norm = b.name_norm AND a.country_norm = b.country_norm")
+def stream_chunks(spark, sf):
+    """Exact matches of a stream of files, a chunk each, stopped after some files and restarted from its checkpoint."""
+    path = _new_path(spark, "stream")
+    a, pool = split_chunks(spark, sf), graph.cut(X.sides(X.e_part(spark, sf))[1], "pool")
+    match = lambda batch: baselines.exact_match(N.normalize(batch), pool, baselines.NAME_COUNTRY)
+    for half in (F.col("chunk_id") < 2, F.col("chunk_id") >= 2):
+        a.where(half).drop("chunk_id").write.mode("append").parquet(f"{path}/in")
+        chunks.resolve_stream(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint", match, files=4)
+    return chunks.finished(spark, f"{path}/out").select("s1_id", "cand_id")
+
+
+def split_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return chunks.chunk_ids(_s1(spark, sf), 4)
+
+
+@query(f"WITH {_N} SELECT entity_id, 1 AS chunks, true AS in_range FROM s1")
+def chunk_ids(spark, sf):
+    """How many chunks two runs over differently dealt rows put an entity in, and whether these are within range."""
+    two = split_chunks(spark, sf).unionByName(chunks.chunk_ids(_s1(spark, sf).repartition(7), 4))
+    return two.groupBy("entity_id").agg(F.count_distinct("chunk_id").cast("int").alias("chunks"), F.every(F.col("chunk_id").between(0, 3)).alias("in_range"))
+
+
+@query(f"WITH {_N} SELECT count(*) AS n_rows, true AS same FROM s1")
+def file_fingerprint(spark, sf):
+    """Rows of a written file, and whether its fingerprint is that of the rows before, dealt differently."""
+    path = _new_path(spark, "entities")
+    e = _s1(spark, sf)
+    io.write_tsv(e, path)
+    now, before = io.fingerprint(io.read_tsv(spark, path).select(*e.columns)), io.fingerprint(e.repartition(5))
+    return now.join(before.select(F.col("checksum").alias("was"))).select("n_rows", (F.col("checksum") == F.col("was")).alias("same"))
+
+
 @query(f"WITH {_E_CUST} SELECT DISTINCT lower(trim(country)) AS country FROM e WHERE lower(trim(country)) NOT IN ('us', 'usa', 'united states', 'united states of america', 'india', 'ind', 'in', 'bharat', 'france', 'fr', 'fra')")
 def vocabulary_countries(spark, sf):
     return mine_countries([X.e_cust(spark, sf)])

@@ -100,6 +100,13 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"no manifest format for {path}")
 
 
+def read_meta(spark: SparkSession, path: str) -> dict:
+    """The metadata beside a Parquet manifest."""
+    import json
+
+    return json.loads(spark.read.text(f"{path}.meta.json").first().value)
+
+
 def fingerprint(f: DataFrame) -> DataFrame:
     """n_rows and a checksum of the rows that doesn't depend on their order."""
     return f.agg(F.count("*").alias("n_rows"), F.sum(F.xxhash64(*f.columns).cast("decimal(38,0)")).cast("string").alias("checksum"))
