@@ -15,6 +15,7 @@ from linkwright.operators import baselines, blocking, context, decide, features,
 from linkwright.operators.blocking import CHANNELS, Caps
 from linkwright.plans import fixtures as X
 from linkwright.plans.resolve import candidates, competing, resolve
+from linkwright.plans.train import train
 from linkwright.sources import io
 from linkwright.streaming import chunks
 
@@ -882,6 +883,35 @@ def resolve_businesses(spark, sf):
     return resolve(e.where("entity_id LIKE 'S1%'"), e.where("entity_id NOT LIKE 'S1%'"), rescorer=competing)
 
 
+@query()
+def resolve_businesses_trained(spark, sf):
+    """The whole resolver with both stages and their calibrators fitted on the businesses' links."""
+    e = X.e_business(spark, sf)
+    a, b = e.where("entity_id LIKE 'S1%'"), e.where("entity_id NOT LIKE 'S1%'")
+    return resolve(a, b, **train(a, b, X.business_truth(spark, sf)))
+
+
+@query()
+def model_saved_and_loaded(spark, sf):
+    """Scores of an ensemble over the built-in features, by the models in memory and by the same from disk."""
+    a, b = X.sides(X.e_part(spark, sf))
+    names = list(features.string_features())
+    rows = graph.cut(features.label(features.pair_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, with_fuzzy=False), X.part_truth(spark, sf)), "rows")
+    path = _new_path(spark, "model")
+    fitted = model.Scorer(names, seeds=(1, 2), trees=5, depth=3).fit(rows)
+    fitted.save(path)
+    again = model.Scorer(names, seeds=(1, 2)).load(path)
+    return rounded(again.score(fitted.score(rows, "p"), "p_loaded").select("s1_id", "cand_id", "p", "p_loaded"))
+
+
+@query()
+def model_importances(spark, sf):
+    a, b = X.sides(X.e_part(spark, sf))
+    names = list(features.string_features())
+    rows = graph.cut(features.label(features.pair_features(X.part_scored(spark, sf).select("s1_id", "cand_id"), a, b, with_fuzzy=False), X.part_truth(spark, sf)), "rows")
+    return rounded(spark.createDataFrame(model.Scorer(names, seeds=(1, 2), trees=5, depth=3).fit(rows).importances(), "feature string, importance double"))
+
+
 @query()
 def resolve_businesses_by_rules(spark, sf):
     """The resolver that decides by threshold, vetoes from the records' own flags, and one owner a candidate."""

@@ -43,6 +43,13 @@ def e_business(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(_tag("c_custkey").alias("entity_id"), F.concat_ws(" ", F.concat(name, first), second, own, form).alias("business_name"), F.concat(street, mark, code).alias("business_address"), land.alias("country"))
 
 
+def business_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of e_business: rows made of the same three customers' keys."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(_tag("c_custkey").alias("id"), F.floor(F.col("c_custkey") / 3).alias("g"))
+    one, two = c.where("id LIKE 'S1%'").withColumnRenamed("id", "s1_id"), c.where("id NOT LIKE 'S1%'").withColumnRenamed("id", "cand_id")
+    return one.join(two, "g").select("s1_id", "cand_id")
+
+
 #: First words of businesses' names, and the same without accents.
 FIRST = ("Société Générale", "Müller", "Acme", "Blue River", "Nordic", "Sri Krishna", "García Hermanos", "Northern Light")
 PLAIN = ("Societe Generale", "Muller", "Acme", "Blue River", "Nordic", "Shri Krishna", "Garcia Hermanos", "Northern Light")
