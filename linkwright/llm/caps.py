@@ -103,10 +103,19 @@ def shared(code: Code, dims: int, cosine: float, pairs: int = 2000) -> tuple[flo
     return p, float(np.sqrt(max(p * (1 - p), 1 / pairs) / pairs))
 
 
-ROW = "rep long, size long, dims int, vec binary, filters array<long>"
+def _packed(x: np.ndarray) -> bytes:
+    """The components in single precision where that loses nothing, else in double precision."""
+    short = x.astype(np.float32)
+    return (short if (short == x).all() else x).tobytes()
+
+
+def _unpacked(packed: bytes, dims: int) -> np.ndarray:
+    return np.frombuffer(packed, np.float32 if len(packed) == 4 * dims else np.float64).astype(np.float64)
 
 
 def _decoded(classes: DataFrame, codes: dict[int, Code]) -> DataFrame:
+    wide = any(c.words**2 >= 2**31 for c in codes.values())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -118,9 +127,9 @@ def _decoded(classes: DataFrame, codes: dict[int, Code]) -> DataFrame:
                     x = np.stack([vectors[i] / np.linalg.norm(vectors[i]) for i in own])
                     for i, f in zip(own, decode(x, codes[dims]), strict=True):
                         filters[i] = f
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(v) for v in vectors], pa.int32()), pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array(filters, pa.list_(pa.int64()))], names=["rep", "size", "dims", "vec", "filters"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(v) for v in vectors], pa.int32()), pa.array([_packed(v) for v in vectors], pa.binary()), pa.array(filters, pa.list_(pa.int64() if wide else pa.int32()))], names=["rep", "size", "dims", "vec", "filters"])
 
-    return classes.mapInArrow(run, ROW)
+    return classes.mapInArrow(run, f"rep long, size long, dims int, vec binary, filters array<{'long' if wide else 'int'}>")
 
 
 LINKS = "rep long, links long, root long"
@@ -130,7 +139,7 @@ def _compare(least: float):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """Links within a block, or between two blocks, of a bucket: for each vector the linked vectors that no smaller
         common filter counts, and the smallest vector linked in here."""
-        here, i, j = key[0], key[2], key[3]
+        dims, i, j = key[1], key[2], key[3]
         left = rows[rows.block == i].sort_values("rep")
         right = left if i == j else rows[rows.block == j].sort_values("rep")
         if not len(left) or not len(right):
@@ -144,13 +153,10 @@ def _compare(least: float):
             return r
 
         def units(part: pd.DataFrame) -> np.ndarray:
-            x = np.stack([np.frombuffer(v, np.float64) for v in part.vec])
+            x = np.stack([_unpacked(v, dims) for v in part.vec])
             return x / np.linalg.norm(x, axis=1, keepdims=True)
 
-        def earlier(part: pd.DataFrame) -> list[np.ndarray]:
-            return [np.asarray(f)[: np.searchsorted(f, here)] for f in part.filters]
-
-        a, b, ea, eb = units(left), units(right), earlier(left), earlier(right)
+        a, b, ea, eb = units(left), units(right), list(left.earlier), list(right.earlier)
         known = np.intersect1d(np.concatenate(ea), np.concatenate(eb))
 
         def held(lists: list[np.ndarray]) -> np.ndarray:
@@ -195,7 +201,8 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
     Equal vectors are one class from the start. A class goes to the filters that it exceeds; within a filter's bucket all
     pairs are verified in double precision as blocks of a matrix, a large bucket as pairs of blocks, so no task holds more
-    than two blocks. A bucket emits a count and a root per linked vector, never pairs; a pair is counted in the smallest
+    than two blocks. A row in a bucket has the vector, in single precision where that is lossless, and the smaller ones of
+    its filters. A bucket emits a count and a root per linked vector, never pairs; a pair is counted in the smallest
     filter that both exceed. A pair at exactly `least` is found with a probability of `recall`, a nearer one with a higher
     one, whatever the number of vectors (Code.sized); `code` takes its place.
     """
@@ -208,12 +215,12 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     held = grouped.groupBy(F.size("x").alias("dims")).agg(F.count("*").alias("n")).collect()
     codes = {r.dims: code or Code.sized(r.n, r.dims, least, recall) for r in held}
     rows = materialize(_decoded(grouped.select("rep", "size", "x"), codes), "filters")
-    spread = rows.select("rep", "size", "dims", "vec", "filters", F.explode("filters").alias("f"))
+    spread = rows.select("rep", "size", "dims", "vec", "filters", F.posexplode("filters").alias("at", "f")).select("rep", "size", "dims", "vec", F.slice("filters", F.lit(1), F.col("at")).alias("earlier"), "f")
     counts = rows.select("dims", F.explode("filters").alias("f")).groupBy("dims", "f").agg(F.count("*").alias("n")).where("n > 1")
     dealt = spread.join(counts, ["dims", "f"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("*", other).select("rep", "size", "dims", "vec", "filters", "f", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    dealt = dealt.select("*", other).select("rep", "size", "dims", "vec", "earlier", "f", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     links = materialize(dealt.groupBy("f", "dims", "i", "j").applyInPandas(_compare(least), LINKS), "links")
     found = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     by_rep = links.groupBy("rep").agg(F.sum("links").alias("links")).join(found, F.col("rep") == F.col("node"), "full").select(F.coalesce("rep", "node").alias("rep"), "links", "component")
