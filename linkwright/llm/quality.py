@@ -15,7 +15,7 @@ from linkwright.llm.shared import by_bytes, forget, materialize, tidy
 
 PASSAGE_WORDS = 64
 #: Bytes of text that a task encodes at a time.
-SLICE = 1_000_000
+SLICE = 250_000
 #: Dimensions to which the n-grams of each kind are hashed: shapes of words (n up to 3), lower-cased words (n up to 2), and
 #: three bytes in a row of a word between its borders.
 SHAPE_DIMS, WORD_DIMS, PIECE_DIMS = 192, 192, 128
