@@ -151,7 +151,7 @@ def balance(sizes: list[int], step_tokens: int = STEP_TOKENS) -> list[int]:
     return group
 
 
-def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tiers: tuple[int, ...] = TIERS, block_tokens: int = BLOCK_TOKENS, step_tokens: int = STEP_TOKENS, slice_bytes: int = 6_000_000, memo: int = MEMO) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tiers: tuple[int, ...] = TIERS, block_tokens: int = BLOCK_TOKENS, step_tokens: int = STEP_TOKENS, slice_bytes: int = 6_000_000, memo: int = MEMO, warm: bool = True) -> DataFrame:
     """Pieces of all docs, packed into sequences of at most max(tiers) tokens.
 
     tokenizer: the bytes of a tokenizers file (sent once to each executor; a few MB whatever the corpus). A null or
@@ -159,7 +159,8 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
     read, so other columns can't clash. An empty table gives no pieces.
 
     Each task tokenizes and packs its own rows in blocks of block_tokens and emits as it goes: no shuffle, and memory
-    that doesn't depend on the input (slice_bytes of text at a time, and up to twice memo remembered chunks). A retried task over the same input split gives the same pieces and ids.
+    that doesn't depend on the input (slice_bytes of text at a time, and up to twice memo remembered chunks, which
+    workers keep for later tasks only if warm). A retried task over the same input split gives the same pieces and ids.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(tokenizer)
@@ -204,7 +205,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
         if held:
             yield flush()
 
-    return docs.select(id_col, text_col).mapInArrow(tidy(run, clear=False), schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run, clear=False, drop=not warm), schema)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,9 +62,10 @@ def held(function):
     return function
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], clear: bool = True) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], clear: bool = True, drop: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, giving freed memory back to the system when a task ends: Python workers live on, and the next stage's tasks
-    (or the executor's JVM) need what the allocators would keep. clear: first drop what other operators' tasks have held."""
+    (or the executor's JVM) need what the allocators would keep. clear: first drop what other operators' tasks have held;
+    drop: at the end drop what this one has."""
 
     def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for f in _HELD if clear else ():
@@ -72,6 +73,8 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], cl
         try:
             yield from run(batches)
         finally:
+            for f in _HELD if drop else ():
+                f.cache_clear()
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # only glibc has it
                 ctypes.CDLL(None).malloc_trim(0)
