@@ -48,7 +48,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     from public_tokenizers import path
 
     with open(path("word_bpe_49k.json"), "rb") as f:
-        return packing.pack(docs, f.read(), slice_bytes=500_000, memo=20_000, block_tokens=400_000)
+        return packing.pack(docs, f.read(), slice_bytes=500_000, memo=20_000, block_tokens=400_000, warm=False)
 
 
 STAGES = [
