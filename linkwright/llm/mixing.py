@@ -17,7 +17,7 @@ from linkwright.llm.shared import by_bytes, materialize, tidy
 #: Dimensions that byte trigrams are hashed to; fixed-point scale of the token sums, which makes them independent of order.
 DIMS, FIXED = 2048, 1 << 16
 #: Bytes of text that a task makes features of at a time.
-SLICE = 1_000_000
+SLICE = 250_000
 
 
 def trigram_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
