@@ -16,8 +16,14 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long")).select(*COLUMNS)
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 4 MB at most in the session: five stages share an executor's memory, and what 10,000 texts need depends on their lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject (score of at least 0.3)."""
+    _small_batches(spark)
     docs = docs.select(*COLUMNS)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, out_col="__score").where("__score >= 0.3").select(*COLUMNS)
@@ -25,11 +31,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that ten or more of them have."""
+    _small_batches(spark)
     return _documents(line_dedup.drop_repeated_lines(docs.select(*COLUMNS)))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id; five-word shingles, a Jaccard of 0.8 or more."""
+    _small_batches(spark)
     docs = docs.select(*COLUMNS)
     found = jaccard.near_duplicates(docs, measure=jaccard.Measure(words=5, percent=80))
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
@@ -38,6 +46,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents kept at the rates that bring the languages' tokens to mixing.WEIGHTS."""
+    _small_batches(spark)
     docs = docs.select(*COLUMNS)
     labelled = mixing.labelled_languages(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return mixing.resample(docs, labelled, mixing.WEIGHTS).select(*COLUMNS)
@@ -45,6 +54,7 @@ def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of every document, packed into training sequences; with small memos, as the executors have run four stages."""
+    _small_batches(spark)
     from public_tokenizers import path
 
     with open(path("word_bpe_49k.json"), "rb") as f:
