@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from linkwright.llm.shared import by_bytes, held, tidy
+from linkwright.llm.shared import by_bytes, tidy
 
 TIERS = (256, 512, 1024, 2048, 4096)
 #: Tokens that one task holds and packs at a time, tokens of one optimizer step, chunks of text whose ids a worker remembers.
@@ -84,10 +84,9 @@ class WordEncoder:
         return ids, np.append(0, ends)[lists.offsets.to_numpy()]
 
 
-@held
 @lru_cache(1)
 def encoder_of(definition: bytes, memo: int = MEMO) -> WordEncoder:
-    """A Python worker's encoder, which its later tasks find warm."""
+    """A Python worker's encoder, which its later tasks find warm: to drop and load one anew leaves some 20 MB each time."""
     return WordEncoder(definition, memo)
 
 
@@ -151,7 +150,7 @@ def balance(sizes: list[int], step_tokens: int = STEP_TOKENS) -> list[int]:
     return group
 
 
-def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tiers: tuple[int, ...] = TIERS, block_tokens: int = BLOCK_TOKENS, step_tokens: int = STEP_TOKENS, slice_bytes: int = 6_000_000, memo: int = MEMO, warm: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, tiers: tuple[int, ...] = TIERS, block_tokens: int = BLOCK_TOKENS, step_tokens: int = STEP_TOKENS, slice_bytes: int = 6_000_000, memo: int = MEMO) -> DataFrame:
     """Pieces of all docs, packed into sequences of at most max(tiers) tokens.
 
     tokenizer: the bytes of a tokenizers file (sent once to each executor; a few MB whatever the corpus). A null or
@@ -160,7 +159,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
 
     Each task tokenizes and packs its own rows in blocks of block_tokens and emits as it goes: no shuffle, and memory
     that doesn't depend on the input (slice_bytes of text at a time, and up to twice memo remembered chunks, which
-    workers keep for later tasks only if warm). A retried task over the same input split gives the same pieces and ids.
+    workers keep for later tasks). A retried task over the same input split gives the same pieces and ids.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(tokenizer)
@@ -205,7 +204,7 @@ def pack(docs: DataFrame, tokenizer: bytes, *, id_col: str = "doc_id", text_col:
         if held:
             yield flush()
 
-    return docs.select(id_col, text_col).mapInArrow(tidy(run, clear=False, drop=not warm), schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
