@@ -22,8 +22,8 @@ COMMON, REPORTED = 400_000, 2
 #: Rows up to which a table of ids is broadcast (about 8 MB).
 BROADCAST = 200_000
 ROUNDS = 1
-#: Pairs a row that a bucket may send before it sends its rows instead.
-ROOM = 64
+#: Pairs a row that a bucket may send before it sends its rows instead; first tokens of a row by which a pair knows its bucket.
+ROOM, FIRST = 4, 8
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(11)
@@ -400,10 +400,28 @@ def _alive(measure: Measure) -> Callable:
     return run
 
 
+def _firsts(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of each row, FIRST columns, and which of them are there."""
+    lists = t.column("first").combine_chunks()
+    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    there = np.arange(FIRST) < size[:, None]
+    out = np.zeros(there.shape, np.int64)
+    out[there] = lists.flatten().to_numpy()
+    return out, there
+
+
+def _is_first(first: tuple[np.ndarray, np.ndarray], token: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Whether no smaller token is among the first ones of both rows of a pair. Both rows are in that token's bucket too and
+    fit there as well, so such a pair is left to it; a pair without a common one is kept by each of its buckets."""
+    x, there = first
+    common = ((x[p][:, :, None] == x[q][:, None, :]) & there[q][:, None, :]).any(2) & there[p]
+    return ~(common & (x[p] < token[p][:, None])).any(1)
+
+
 def _jobs_of_runs(measure: Measure) -> Callable:
     """What a bucket's trie must still decide: fitting pairs of different components, or where a run has more than
-    ROOM of them a row, the rows that are in one (b is null). So what is sent grows with the rows; a set is some ROOM times
-    as large as a pair, and a pair goes to one trie only, whereas such a row goes to each bucket's."""
+    ROOM of them a row, the rows that are in one (b is null). So what is sent grows with the rows. Copies share most of
+    their buckets, and all but one of them leave a pair out (_is_first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _whole_runs(batches):
@@ -411,7 +429,10 @@ def _jobs_of_runs(measure: Measure) -> Callable:
             of = np.cumsum(np.append(False, (keys[1:] != keys[:-1]).any(1)))
             room = ROOM * np.bincount(of)
             number, within, some = np.zeros(len(room), np.int64), np.zeros(len(t), bool), [np.zeros((2, 0), np.int64)]
+            first = _firsts(t)
             for p, q in _fitting(t, measure, None):
+                mine = _is_first(first, keys[:, 0], p, q)
+                p, q = p[mine], q[mine]
                 within[p] = within[q] = True
                 number += np.bincount(of[p], minlength=len(room))
                 few = number[of[p]] <= room[of[p]]
@@ -465,7 +486,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     3. A few rounds contract groups of copies: classes with an equal min-hash meet in tries, then only one class of each
        component goes on. (They lower the cost of the last step and may be 0.)
     4. In each bucket that still holds different components, sizes and histograms say which classes must meet; a pair that
-       shares buckets meets in the first, unless finer histograms rule it out. Their sets are stored in the bucket's tries, whose traversal gives the links.
+       shares buckets meets in the first (and most buckets know that of their pairs), unless finer histograms rule it out. Their sets are stored in the bucket's tries, whose traversal gives the links.
     All links between different texts come from tries. Groups of copies emit at most one edge per member and round; no
     bucket is held whole by a task.
     """
@@ -513,8 +534,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         link(rest.select("token", "rep", F.col("rep").alias("component")))
     by_component = named.join(_small(found), F.col("rep") == F.col("node"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
     mixed = by_component.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
-    mixed = by_component.join(mixed.select("token", "size"), "token").join(sets.select("rep", "bins"), "rep")
-    met = _sorted_runs(_in_runs(mixed, pair_block, ["component", "n", "bins"]))
+    mixed = materialize(by_component.join(mixed.select("token", "size"), "token"), "mixed")
+    first = mixed.groupBy("rep").agg(F.slice(F.array_sort(F.collect_set("token")), 1, FIRST).alias("first"))
+    met = mixed.join(first.join(sets.select("rep", "bins"), "rep"), "rep")
+    met = _sorted_runs(_in_runs(met, pair_block, ["component", "n", "bins", "first"]))
     open_ = materialize(met.mapInArrow(tidy(_jobs_of_runs(measure)), "token long, a long, ca long, b long, cb long"), "open")
     pairs = open_.where("b IS NOT NULL").groupBy("a", "b").agg(F.min(F.struct("token", "ca", "cb")).alias("x")).select("a", "x.ca", "b", "x.cb", "x.token")
     for c in "ab":
@@ -523,7 +546,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ends = F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("ca").alias("component")), F.struct(F.col("b").alias("rep"), F.col("cb").alias("component")))).alias("e")
     jobs = pairs.select("token", ends).select("token", "e.rep", "e.component").unionByName(open_.where("b IS NULL").select("token", F.col("a").alias("rep"), F.col("ca").alias("component"))).distinct()
     link(jobs)
-    for x in (sets, open_, live, named):
+    for x in (sets, open_, live, named, mixed):
         forget(x)
     out = table.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(found, F.col("rep") == F.col("node"), "left")
     own = F.when(F.col("n") > 0, F.coalesce("component", "rep"))

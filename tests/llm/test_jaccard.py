@@ -140,3 +140,22 @@ def test_sketches_bound_the_overlap(a, b, shared):
         x, y = (np.frombuffer(jaccard.histogram(np.array(sorted(s), np.uint64), jaccard.sketch_bins(len(s))), np.uint8) for s in (a, b))
         assert len(a & b) <= jaccard.at_most(x, y) == jaccard.at_most(y, x)
     assert jaccard.at_most(np.full(64, 255, np.uint8), np.zeros(128, np.uint8)) > 1 << 60
+
+
+def test_pair_is_sent_once(spark, monkeypatch):
+    """Near copies share most of their buckets; what the buckets send doesn't grow with their number."""
+    sent, real = [], jaccard.materialize
+
+    def keep(df, name):
+        out = real(df, name)
+        if name == "open":
+            sent.append((out.count(), out.where("b IS NOT NULL").select("a", "b").count(), out.where("b IS NOT NULL").select("a", "b").distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", keep)
+    base = [f"word{k}" for k in range(120)]
+    rows = [(i, " ".join([*base[: 4 * i], f"own{i}", *base[4 * i + 1 :]])) for i in range(24)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rounds=0).collect()
+    assert {r.component_id for r in got} == {0}
+    (every, pairs, distinct), = sent
+    assert pairs <= 1.5 * distinct and every <= 24 * 23 // 2
