@@ -22,6 +22,8 @@ COMMON, REPORTED = 400_000, 2
 #: Rows up to which a table of ids is broadcast (about 8 MB).
 BROADCAST = 200_000
 ROUNDS = 1
+#: Bytes of texts whose shingles are made at once.
+PART = 500_000
 #: Pairs a row that a bucket may send before it sends its rows instead; first tokens of a row by which a pair knows its bucket.
 ROOM, FIRST = 4, 8
 
@@ -62,12 +64,19 @@ def shingle_sets(texts: list[str | None], words: int = 4) -> list[np.ndarray]:
     """For each whole text its distinct shingles as sorted 63-bit tokens: the bytes of its words, more first, in the
     upper 7 bits, 56 bits of hash below. So they are in an order in which long, and so mostly rare, shingles lead. Texts of fewer words are one shingle, texts of none the empty set."""
     raw = [(x or "").encode("utf-8", "replace") for x in texts]
+    part = np.cumsum([len(x) for x in raw]) // PART
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(raw)]
+    return [s for a, b in zip(cuts, cuts[1:], strict=False) if b > a for s in _shingle_sets(raw[a:b], words)]
+
+
+def _shingle_sets(raw: list[bytes], words: int) -> list[np.ndarray]:
+    """Some 30 bytes of arrays for each byte of all texts, so they are few at a time."""
     a = _FOLD[np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)]
     offsets = np.cumsum([0] + [len(x) + 1 for x in raw])
     edge = np.flatnonzero(np.diff(np.concatenate([[False], ~_IS_SPACE[a]])))
     starts, ends = edge[0::2], edge[1::2]
     if not len(starts):
-        return [np.zeros(0, np.uint64) for _ in texts]
+        return [np.zeros(0, np.uint64) for _ in raw]
     length = ends - starts
     power = np.ones(int(length.max()), np.uint64)
     power[1:] = _BASE
@@ -86,7 +95,7 @@ def shingle_sets(texts: list[str | None], words: int = 4) -> list[np.ndarray]:
             size += length[k : k + n]
         token = _order(_mix(token), size)
     out = []
-    for i in range(len(texts)):
+    for i in range(len(raw)):
         lo, hi = first[i], first[i + 1]
         if hi - lo >= words:
             out.append(np.unique(token[lo : hi - words + 1]))
@@ -554,6 +563,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")  # what 10,000 texts need depends on their lengths
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 

@@ -1,6 +1,7 @@
 """The Jaccard join against brute force: random texts, copies, hot groups and edge cases."""
 
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -159,3 +160,14 @@ def test_pair_is_sent_once(spark, monkeypatch):
     assert {r.component_id for r in got} == {0}
     (every, pairs, distinct), = sent
     assert pairs <= 1.5 * distinct and every <= 24 * 23 // 2
+
+
+def test_shingles_of_many_texts_need_little_memory():
+    texts = [None, "", "Ab", " x\ty "] + [" ".join(f"w{i * j % 977}" for j in range(400)) for i in range(1, 2000)]
+    few = [s for i in range(0, len(texts), 7) for s in jaccard.shingle_sets(texts[i : i + 7])]
+    tracemalloc.start()
+    all_ = jaccard.shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.array_equal(a, b) for a, b in zip(all_, few, strict=True))
+    assert peak < 40_000_000
