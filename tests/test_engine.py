@@ -293,3 +293,20 @@ def test_gate_search_and_provenance(spark):
     assert validate.with_provenance(cands.limit(1)).count() == 1
     with pytest.raises(Exception, match="no provenance"):
         validate.with_provenance(cands).collect()
+
+
+def test_partial_ratio_compares_few_stretches(monkeypatch):
+    rng, calls, plain = random.Random(2), [], fuzzy.lcs
+    monkeypatch.setattr(fuzzy, "lcs", lambda a, b: calls.append(1) or plain(a, b))
+    a = "".join(rng.choices("abcdefghij", k=30))
+    b = "".join(rng.choices("uvwxyz", k=200)) + a[:14] + "-" + a[14:] + "".join(rng.choices("uvwxyz", k=200))
+    got, used = fuzzy.partial_ratio(a, b), len(calls)
+    assert got == max(fuzzy.ratio(a, b[max(0, i) : i + 30]) for i in range(-29, len(b))) and used < 20
+
+
+def test_fuzzy_scores_run_in_many_partitions(spark):
+    rows = [("S1-000000001", "Acme Foods", "1 Main St", "US")] + [(f"S2-{i:09}", f"Acme {i}", f"{i} Main St", "US") for i in range(1, 40)]
+    n = normalize(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string"))
+    pairs = spark.createDataFrame([("S1-000000001", r[0]) for r in rows[1:]], "s1_id string, cand_id string").coalesce(1)
+    f = features.pair_features(pairs, n.where("source = 'S1'"), n.where("source = 'S2'"))
+    assert f.select(F.spark_partition_id().alias("k"), "name_ratio").distinct().groupBy("k").count().count() > 1
