@@ -310,3 +310,17 @@ def test_fuzzy_scores_run_in_many_partitions(spark):
     pairs = spark.createDataFrame([("S1-000000001", r[0]) for r in rows[1:]], "s1_id string, cand_id string").coalesce(1)
     f = features.pair_features(pairs, n.where("source = 'S1'"), n.where("source = 'S2'"))
     assert f.select(F.spark_partition_id().alias("k"), "name_ratio").distinct().groupBy("k").count().count() > 1
+
+
+def test_features_once_for_equal_contents(spark):
+    rows = [(f"S{k % 3 + 1}-{k:09}", f"Acme {k // 3 % 3}", f"{k // 3 % 2} Main St", "US") for k in range(60)]
+    n = normalize(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string"))
+    a, b = n.where("source = 'S1'"), n.where("source <> 'S1'")
+    pairs = a.select(F.col("entity_id").alias("s1_id")).crossJoin(b.select(F.col("entity_id").alias("cand_id")))
+    counted = features.content_pairs(pairs, a, b).cache()
+    assert counted.count() == 6 * 12 and counted.agg(F.sum("n")).first()[0] == 800
+    every, once = features.pair_features(pairs, a, b, with_fuzzy=False), features.pair_features(counted, a, b, with_fuzzy=False).join(counted, ["s1_id", "cand_id"])
+    names = ["name_tok_jaccard", "addr_tok_jaccard", "cand_is_s2"]
+    for f in (lambda x: metrics.feature_audit(x, names), lambda x: metrics.correlated(x, names, 0.0)):
+        one, two = ([[round(v, 9) if isinstance(v, float) else v for v in r] for r in sorted(f(x).collect())] for x in (every, once))
+        assert one == two and one
