@@ -324,3 +324,15 @@ def test_features_once_for_equal_contents(spark):
     for f in (lambda x: metrics.feature_audit(x, names), lambda x: metrics.correlated(x, names, 0.0)):
         one, two = ([[round(v, 9) if isinstance(v, float) else v for v in r] for r in sorted(f(x).collect())] for x in (every, once))
         assert one == two and one
+
+
+def test_near_top_keeps_the_likeliest(spark):
+    """Ties, nulls and groups smaller than `most` included; of large groups little is left to sort."""
+    rows = [(f"S1-{e}", f"S2-{c:04}", None if c % 9 == 0 else (c * 37 % (101 if e else 5)) / 101) for e, n in ((0, 300), (1, 900), (2, 3), (3, 0)) for c in range(n)]
+    f = spark.createDataFrame(rows, "s1_id string, cand_id string, p double")
+    for most in (1, 3, 20):
+        near = {tuple(r) for r in decide.near_top(f, most, ["s1_id"]).collect()}
+        for e in range(3):
+            order = sorted((r for r in rows if r[0] == f"S1-{e}"), key=lambda r: (r[2] is None, -(r[2] or 0), r[1]))
+            assert set(order[:most]) <= near
+        assert sum(r[0] == "S1-1" for r in near) < 200
