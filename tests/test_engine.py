@@ -361,3 +361,19 @@ def test_assignment_needs_no_rounds_within_a_group(spark):
     df = spark.createDataFrame(rows, "s1_id string, cand_id string, p double, g long")
     got = decide.filter_and_assign(df, decide.Rules(unique=True), rounds=2, within="g")
     assert sorted((r.s1_id, r.cand_id) for r in got.collect()) == [(f"S1-{i:03d}", f"S2-{i:03d}") for i in range(8)]
+
+
+def test_all_candidates_are_selected_from(spark):
+    """More than 20 candidates, unlikely ones and ties included: the lengths are those of all prefixes compared."""
+    rng = random.Random(5)
+    rows = [(f"S1-{e}", f"S2-{c:03}", p) for e, n in enumerate((1, 3, 25, 40, 60)) for c in range(n) for p in [round(rng.random() ** (1 + e % 2), 1 + e % 3)]]
+    want = []
+    for e in range(5):
+        order = sorted((r for r in rows if r[0] == f"S1-{e}"), key=lambda r: (-r[2], r[1]))
+        p = np.array([r[2] for r in order])
+        value = [decide.expected_f05(p[:k], p[k:]) for k in range(len(p) + 1)]
+        level = -np.unique(-p)
+        assert np.allclose(decide.prefix_values(level, np.array([(p == x).sum() for x in level])), value, atol=1e-9)
+        want += order[: next(k for k, x in enumerate(value) if x >= max(value) - 1e-10)]
+    df = spark.createDataFrame(rows + [("S1-9", "S2-1", None), ("S1-9", "S2-2", 0.0)], "s1_id string, cand_id string, p double")
+    assert sorted(map(tuple, decide.select_matches(df.repartition(5)).collect())) == sorted(want) and len(want) > 40
